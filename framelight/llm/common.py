@@ -57,3 +57,22 @@ def bounded_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
     if n <= rows:
         return df
     return df.where(F.pmod(F.xxhash64(key, F.lit(17)), F.lit(1_000_000)) < int(1_000_000 * rows / n))
+
+
+#: Keys that a skewed join broadcasts at most.
+MAX_HUBS = 10_000
+
+
+def join_skewed(rows: DataFrame, side: DataFrame, key: str, n_rows: int) -> DataFrame:
+    """Inner join of rows with side, which has one row per key and in `degree` how many of rows have the key.
+
+    Keys that hold MAX_HUBS-th of all rows or more are joined by broadcast, so that no task collects their rows;
+    there are MAX_HUBS of them at most. The others go by shuffle.
+    """
+    from_degree = max(5_000, n_rows // MAX_HUBS + 1)
+    names = [c for c in side.columns if c not in (key, "degree")]
+    hubs = side.where(F.col("degree") >= from_degree).select(key, F.struct(*names).alias("hub_"))
+    marked = rows.join(F.broadcast(hubs), key, "left")
+    near = marked.where("hub_ is not null").select(*rows.columns, *[F.col(f"hub_.{c}").alias(c) for c in names])
+    rest = marked.where("hub_ is null").select(*rows.columns)
+    return near.unionByName(rest.join(side.where(F.col("degree") < from_degree).select(key, *names), key).select(*rows.columns, *names))

@@ -5,25 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framelight.llm.common import cut, uncut
-
-#: At most this many hubs are broadcast in a round; the degree from which a node is a hub follows from it.
-MAX_HUBS = 10_000
-
+from framelight.llm.common import cut, join_skewed, uncut
 
 def _with_minimum(pairs: DataFrame, n_pairs: int) -> DataFrame:
-    """(u, v) rows with m, the least of u and its neighbours.
-
-    A hub's rows get m by broadcast, so no task collects them; a node is a hub from a degree that at most
-    MAX_HUBS nodes can reach.
-    """
-    from_degree = max(5_000, n_pairs // MAX_HUBS + 1)
+    """(u, v) rows with m, the least of u and its neighbours."""
     least = pairs.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("degree"))
-    hubs = least.where(F.col("degree") >= from_degree).select("u", F.col("m").alias("hub_m"))
-    marked = pairs.join(F.broadcast(hubs), "u", "left")
-    near = marked.where(F.col("hub_m").isNotNull()).select("u", "v", F.col("hub_m").alias("m"))
-    rest = marked.where(F.col("hub_m").isNull()).select("u", "v")
-    return near.unionByName(rest.join(least.where(F.col("degree") < from_degree).select("u", "m"), "u"))
+    return join_skewed(pairs, least, "u", n_pairs)
 
 
 def _state(edges: DataFrame) -> tuple:

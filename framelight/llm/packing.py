@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from framelight.llm.common import CACHE, cut, table
 
 CAPACITY = 2048
-#: Rounds of multiplicative weights and the step by which a filled length's price falls.
-ROUNDS, STEP = 400, 0.5
+#: Rounds of multiplicative weights, how steeply a covered length's price falls, and the share of each length that
+#: the program covers; the rest is left to the rounding, which needs pieces of every length to fill gaps with.
+ROUNDS, STEEP, SHARE = 150, 40.0, 0.85
 #: Pieces of one length that are numbered within one task.
 RUN_ROWS = 50_000
 
@@ -113,7 +114,8 @@ def configurations(histogram: dict[int, int], capacity: int = CAPACITY) -> list[
 
     The covering program "as few configurations as hold every piece" is solved by multiplicative weights: a
     length's price falls as the chosen configurations cover it, and the knapsack gives the dearest
-    configuration at these prices. The fractional solution is rounded down; what it leaves is packed by best fit.
+    configuration at these prices. Rounding takes the whole part of every configuration that fills its sequence;
+    what that leaves is packed by best fit.
     Depends on the histogram only, which has no more entries than the capacity.
     """
     done = []
@@ -129,21 +131,21 @@ def configurations(histogram: dict[int, int], capacity: int = CAPACITY) -> list[
     for _ in range(ROUNDS):
         # Prices are per piece: the weight of a length's constraint over the pieces that it asks for.
         gap = covered / need
-        price = np.exp(-STEP * ROUNDS * (gap - gap.min()) / max(1.0, gap.max())) * lengths / capacity
-        price[gap >= 1] = 0
+        price = np.exp(-STEEP * (gap - gap.min())) * lengths / capacity
+        price[gap >= SHARE] = 0
         if not price.any():
             break
         config = _best_config(price, np.maximum(need - covered, 0).round(), lengths, capacity)
         if not config:
             break
-        step = max(1.0, min((need[k] - covered[k]) / n for k, n in config.items()) / 4)
-        step = min(step, min((need[k] - covered[k]) / n for k, n in config.items()))
+        room = min((need[k] - covered[k]) / n for k, n in config.items())
+        step = min(room, max(1.0, room / 4))
         uses[tuple(sorted(config.items()))] += step
         for k, n in config.items():
             covered[k] += n * step
     for config, times in uses.items():
         times = int(times + 1e-9)
-        if times:
+        if times and sum(int(lengths[k]) * n for k, n in config) == capacity:
             done.append(({int(lengths[k]): n for k, n in config}, times))
             for k, n in config:
                 left[int(lengths[k])] -= n * times
