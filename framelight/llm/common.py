@@ -12,6 +12,24 @@ from pyspark.sql import functions as F
 CACHE = 200_000
 
 
+class WordCache(dict):
+    """word -> make(word), holding up to 2 * size entries: full, the older half gives way. Only bounds memory."""
+
+    def __init__(self, make, size: int = CACHE):
+        super().__init__()
+        self.make, self.size, self.old = make, size, {}
+
+    def __missing__(self, word):
+        value = self.old.get(word)
+        if value is None:
+            value = self.make(word)
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[word] = value
+        return value
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelight.llm.common import CACHE, bounded_sample, held_out, table
+from framelight.llm.common import bounded_sample, held_out, table
 
 #: Labelled documents to learn from, words kept for each language, and the longest n-gram of the backoff.
 SAMPLE_ROWS, WORDS_PER_LANGUAGE, LONGEST_GRAM = 20_000, 20_000, 4
@@ -22,55 +22,88 @@ SAMPLE_ROWS, WORDS_PER_LANGUAGE, LONGEST_GRAM = 20_000, 20_000, 4
 BACKOFF = math.log(0.4)
 UNDETERMINED = "und"
 WORD = re.compile(r"[^\W\d_]+")
-#: Words of this many characters at most are kept in a worker's cache.
-CACHED_CHARS = 40
+#: Documents scored together, and words that a worker remembers before it forgets them.
+CHUNK, REMEMBERED = 256, 500_000
+#: Stand for the begin and the end of a word in n-grams.
+BEGIN, END = "^", "$"
+
+
+def gram_codes(points: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit number for each `size` neighbouring code points."""
+    out = np.zeros(max(0, len(points) - size + 1), np.uint64)
+    for k in range(size):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + points[k : k + len(out)].astype(np.uint64)
+    return out
 
 
 @dataclass
 class LanguageModel:
-    """Log frequencies by language. words: word to row of `table`; grams: n-gram to row; the last row is the floor."""
+    """Log frequencies by language. words: word to row of `table`; by n-gram size the sorted codes and their rows."""
 
     languages: list[str]
-    prior: np.ndarray
     words: dict[str, int]
-    grams: dict[str, int]
+    codes: list[np.ndarray]
+    rows: list[np.ndarray]
     table: np.ndarray
-    cache: dict[str, np.ndarray] = field(default_factory=dict, repr=False)
-
-    def word_score(self, word: str) -> np.ndarray:
-        row = self.words.get(word)
-        if row is not None:
-            return self.table[row]
-        padded, total, steps, at = f"^{word}$", np.zeros(len(self.languages)), 0, 0
-        # From each place the longest known n-gram counts; each character fewer costs a step.
-        while at < len(padded):
-            for n in range(min(LONGEST_GRAM, len(padded) - at), 0, -1):
-                row = self.grams.get(padded[at : at + n])
-                if row is not None or n == 1:
-                    total += (self.table[row] if row is not None else self.table[-1]) + BACKOFF * (LONGEST_GRAM - n)
-                    break
-            steps += 1
-            at += 1
-        return total / steps
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """(language, posterior of it); the posterior is tempered, as neighbouring words aren't independent."""
-        words = WORD.findall(text.lower()) if text else []
-        if not words:
-            return UNDETERMINED, 0.0
-        cache, rows = self.cache, []
-        for word, n in Counter(words).items():
-            row = cache.get(word)
+    floor: float = math.log(1e-7)
+
+    def word_scores(self, words: list[str]) -> np.ndarray:
+        """A row for each word: its log frequencies if known, else the mean over its places of the longest known
+        n-gram that begins there; each step down to shorter ones costs BACKOFF."""
+        out = np.zeros((len(words), len(self.languages)))
+        unseen = []
+        for i, w in enumerate(words):
+            row = self.words.get(w)
             if row is None:
-                row = self.word_score(word)
-                if len(word) <= CACHED_CHARS:
-                    if len(cache) >= CACHE:
-                        cache.clear()
-                    cache[word] = row
-            rows.append(row * n)
-        total = self.prior + np.sum(rows, axis=0) / math.sqrt(len(words))
-        best = int(total.argmax())
-        return self.languages[best], float(1 / np.exp(total - total[best]).sum())
+                unseen.append(i)
+            else:
+                out[i] = self.table[row]
+        if unseen:
+            lengths = np.fromiter((len(words[i]) + 2 for i in unseen), np.int64, len(unseen))
+            points = np.frombuffer("".join([BEGIN + words[i] + END for i in unseen]).encode("utf-32-le", "surrogatepass"), "<u4")
+            word = np.repeat(np.arange(len(unseen)), lengths)
+            score = np.full((len(points), len(self.languages)), self.floor + BACKOFF * (LONGEST_GRAM - 1))
+            open_ = np.ones(len(points), bool)
+            for size in range(LONGEST_GRAM, 0, -1):
+                code, known = gram_codes(points, size), self.codes[size - 1]
+                if len(known) and len(code):
+                    at = np.minimum(np.searchsorted(known, code), len(known) - 1)
+                    hit = (known[at] == code) & (word[: len(code)] == word[size - 1 :]) & open_[: len(code)]
+                    where = np.flatnonzero(hit)
+                    score[where] = self.table[self.rows[size - 1][at[where]]] + BACKOFF * (LONGEST_GRAM - size)
+                    open_[where] = False
+            starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+            out[unseen] = np.add.reduceat(score, starts, axis=0) / lengths[:, None]
+        return out
+
+
+class Identifier:
+    """(language, posterior) of texts; remembers words within a worker."""
+
+    def __init__(self, model: LanguageModel):
+        self.model, self.known, self.scores = model, {}, np.empty((0, len(model.languages)))
+
+    def __call__(self, texts: list[str | None]) -> Iterator[tuple[str, float]]:
+        if not self.model.languages:
+            yield from ((UNDETERMINED, 0.0) for _ in texts)
+            return
+        for at in range(0, len(texts), CHUNK):
+            lists = [WORD.findall(x.lower()) if x else [] for x in texts[at : at + CHUNK]]
+            if len(self.known) > REMEMBERED:
+                self.known, self.scores = {}, self.scores[:0]
+            new = list({w for words in lists for w in words}.difference(self.known))
+            if new:
+                self.known |= zip(new, range(len(self.known), len(self.known) + len(new)), strict=True)
+                self.scores = np.concatenate([self.scores, self.model.word_scores(new)])
+            for words in lists:
+                if not words:
+                    yield UNDETERMINED, 0.0
+                    continue
+                rows = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+                # Neighbouring words aren't independent, so the sum is tempered.
+                total = self.scores[rows].sum(0) / math.sqrt(len(words))
+                best = int(total.argmax())
+                yield self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
 
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
@@ -99,18 +132,23 @@ def build(counts: dict[str, dict[str, int]]) -> LanguageModel:
         for word, n in counts[lang].items():
             if n > 1:
                 words[word][j] += n
-            padded, weight = f"^{word}$", 1 + math.log(n)
+            padded, weight = f"{BEGIN}{word}{END}", 1 + math.log(n)
             for size in range(1, LONGEST_GRAM + 1):
                 for at in range(len(padded) - size + 1):
                     grams[padded[at : at + size]][j] += weight
-    grams = {g: v for g, v in grams.items() if v.sum() >= 3}
-    per_size = np.ones((LONGEST_GRAM + 1, k))
-    for g, v in grams.items():
-        per_size[len(g)] += v
     seen = np.sum(list(words.values()), axis=0) + 1 if words else np.ones(k)
-    floor = np.full(k, math.log(1e-7))
-    table = [np.log((v + 0.01) / seen) for v in words.values()] + [np.log((v + 0.5) / (per_size[len(g)] + 50)) for g, v in grams.items()] + [floor]
-    return LanguageModel(languages, np.zeros(k), {w: i for i, w in enumerate(words)}, {g: len(words) + i for i, g in enumerate(grams)}, np.array(table).reshape(-1, k))
+    table = [np.log((v + 0.01) / seen) for v in words.values()]
+    codes, rows = [], []
+    for size in range(1, LONGEST_GRAM + 1):
+        own = {g: v for g, v in grams.items() if len(g) == size and v.sum() >= 3}
+        total = np.sum(list(own.values()), axis=0) + 50 if own else np.ones(k)
+        points = np.frombuffer("".join(own).encode("utf-32-le"), "<u4")
+        code = gram_codes(points, size)[::size] if own else np.empty(0, np.uint64)
+        order = np.argsort(code, kind="stable")
+        codes.append(code[order])
+        rows.append(len(table) + order)
+        table += [np.log((v + 0.5) / total) for v in own.values()]
+    return LanguageModel(languages, {w: i for i, w in enumerate(words)}, codes, rows, np.array(table).reshape(-1, k))
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
@@ -125,9 +163,9 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        identifier = Identifier(shared.value)
         for batch in batches:
-            said = [model.predict(x.as_py()) if model.languages else (UNDETERMINED, 0.0) for x in batch.column(at)]
+            said = list(identifier(batch.column(at).to_pylist()))
             new = [pa.array([x[0] for x in said], pa.string()), pa.array([x[1] for x in said], pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, "lang_pred", "score"])
 

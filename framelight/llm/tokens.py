@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelight.llm.common import CACHE, table
+from framelight.llm.common import WordCache, table
 
 #: What an unknown character costs below the worst piece.
 UNKNOWN_PENALTY = 10.0
@@ -36,11 +36,14 @@ class UnigramCounter:
         self.automaton.make_automaton()
         self.unknown = min((s for _, s in pieces), default=0.0) - UNKNOWN_PENALTY
         self.bytes = [f"<0x{b:02X}>" in self.ids for b in range(256)]
-        self.cache: dict[str, int] = {}
+        self.line_ends_apart = self.bytes[10] and not any("\n" in p for p in self.ids)
+        self.units = WordCache(lambda word: self.count_unit(SPACE + word), 300_000)
 
     def count_unit(self, unit: str) -> int:
         """Pieces of one SPACE-led word."""
         n = len(unit)
+        if not n:
+            return 0
         best, start, known = [None] * (n + 1), [0] * (n + 1), [True] * (n + 1)
         best[0] = 0.0
         ends: list[list] = [[] for _ in range(n)]
@@ -77,16 +80,17 @@ class UnigramCounter:
         if not text:
             return 0
         text = text.replace(" ", SPACE)
-        total, cache = 0, self.cache
-        for word in (text[1:] if text[0] == SPACE else text).split(SPACE):
-            n = cache.get(word)
-            if n is None:
-                if len(cache) >= CACHE:
-                    cache.clear()
-                n = self.count_unit(SPACE + word)
-                if len(word) <= 64:
-                    cache[word] = n
-            total += n
+        if text[0] != SPACE:
+            text = SPACE + text
+        if not self.line_ends_apart:
+            return sum(map(self.units.__getitem__, text[1:].split(SPACE)))
+        # No piece holds a line end, so each is a byte of its own and what follows has no SPACE before it.
+        first, *lines = text.split("\n")
+        total = len(lines) + sum(map(self.units.__getitem__, first[1:].split(SPACE) if first else ()))
+        for line in lines:
+            if line:
+                bare, *words = line.split(SPACE)
+                total += self.count_unit(bare) + sum(map(self.units.__getitem__, words))
         return total
 
 
