@@ -24,7 +24,8 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     Sources by code point, null last, weigh 1, 2, 3, 1, 2, ...; targets share the sum of the sizes by weight and
     stop at EPOCHS times their source's size. The excess goes to the others by weight, again and again: sources
     in the order of cap over weight fill up one after the other, so one running sum finds the water level.
-    The table has a row per source, however many documents these hold. Sources without words get target 0.
+    The level rises up to the first source that does not fill up and falls after it. The table has a row per
+    source, however many documents these hold. Sources without words get target 0.
     """
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     ranked = sizes.withColumn("rank", F.row_number().over(by_name)).withColumn("weight", ((F.col("rank") - 1) % 3 + 1).cast("long"))
@@ -35,7 +36,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     level = (F.sum("source_size").over(whole) - F.coalesce(F.sum("cap").over(before), F.lit(0))) / (
         F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0)))
     leveled = ranked.withColumn("level", level).withColumn("full", F.col("cap") <= F.col("weight") * F.col("level"))
-    water = F.coalesce(F.min(F.when(~F.col("full"), F.col("level"))).over(whole), F.lit(0.0))
+    water = F.coalesce(F.max(F.when(~F.col("full"), F.col("level"))).over(whole), F.lit(0.0))
     target = F.when(F.col("full"), F.col("cap").cast("double")).otherwise(F.col("weight") * water)
     return leveled.withColumn("target", target).select("source", F.col("rank").cast("long").alias("rank"), "source_size", "target")
 
@@ -64,11 +65,10 @@ def mix(docs: DataFrame) -> DataFrame:
     placed = placed.join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("run") == F.col("r")))
     placed = cut(placed.select("doc_id", "source", "size", "source_size", "target", "rank", (F.col("run_start") + F.col("inside")).alias("cum")))
 
-    # The copies that begin before virtual time 1 hold the budget's words.
     epochs = F.explode(F.sequence(F.lit(0), F.lit(EPOCHS - 1))).alias("epoch")
     copies = placed.where("size > 0 and target > 0").select("size", "rank", "target", "cum", "source_size", epochs)
     copies = copies.select("size", "rank", "target", (F.col("cum") + F.col("epoch") * F.col("source_size")).alias("at"))
-    copies = copies.where("at - size < target").select("size", "rank", "at", (F.col("at") / F.col("target")).alias("finish"))
+    copies = copies.select("size", "rank", "at", (F.col("at") / F.col("target")).alias("finish"))
     total = sizes.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
     ranges = int(max(64, (most[1] or 0) // RUN_ROWS))  # virtual time spreads words evenly, so equal ranges are even
     copies = copies.withColumn("range", F.least(F.floor(F.col("finish") * ranges), F.lit(2 * ranges)).cast("int"))
@@ -135,7 +135,7 @@ leveled AS (
 targets AS (
   SELECT source, rank, source_size,
          CASE WHEN cap <= weight * level THEN cap::DOUBLE
-              ELSE weight * coalesce((SELECT min(level) FROM leveled WHERE cap > weight * level), 0) END AS target
+              ELSE weight * coalesce((SELECT max(level) FROM leveled WHERE cap > weight * level), 0) END AS target
   FROM leveled),
 placed AS (
   SELECT s.doc_id, s.source, size, h, source_size, target, rank, row_number() OVER (ORDER BY s.doc_id, h, size) AS row,
