@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from framelight.plans.queries import ORACLE_SQL, QUERIES
+
 FLAGSHIP = "timeline_complete"
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+
+__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]
