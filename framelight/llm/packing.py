@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from framelight.llm.common import CACHE, cut, table
+from framelight.llm.common import WordCache, cut, table
 
 CAPACITY = 2048
 #: Rounds of multiplicative weights, how steeply a covered length's price falls, and the share of each length that
@@ -25,39 +25,62 @@ PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.
 PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
-@functools.cache
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
+#: Words whose ids a worker remembers, twice over; it keeps them from task to task.
+REMEMBERED = 400_000
+#: Signs that end words: they are tokenized apart from the letter or digit before them.
+TAIL = ".,;:!?*&#%$|"
 
 
-def token_bytes(text: str, tokenizer, cache: dict[str, bytes]) -> bytes:
-    """The text's ids as little-endian unsigned 32-bit numbers, without the closing 0.
+class WordTokenizer:
+    """A text's ids as little-endian unsigned 32-bit numbers, without the closing 0, put together word by word.
 
-    The tokenizer drops white space and never joins what stands on both sides of it, so words between spaces,
-    tabs and line ends are tokenized by themselves, each once per worker while the cache holds it.
+    The tokenizer drops white space and splits letters, digits and signs apart, so what stands between spaces,
+    tabs and line ends is tokenized by itself, and a word apart from the signs at its end. It lower-cases,
+    so texts are lower-cased before the look-up, where both agree for certain: in Latin-1 without the mark of
+    special tokens.
     """
-    words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-    missing = list({w for w in words if w not in cache})
-    if missing:
-        if len(cache) + len(missing) > CACHE:
-            cache.clear()
-            missing = list(set(words))
-        for word, got in zip(missing, tokenizer.encode_batch(missing, add_special_tokens=False), strict=True):
-            cache[word] = np.array(got.ids, "<u4").tobytes()
-    return b"".join(map(cache.__getitem__, words))
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.parts = WordCache(self._ids, REMEMBERED)
+        self.words = WordCache(self._word, REMEMBERED // 2)
+
+    def _ids(self, part: str) -> bytes:
+        return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _word(self, word: str) -> bytes:
+        core = word.rstrip(TAIL)
+        if core and core != word and core[-1].isalpha():
+            return self.parts[core] + self.parts[word[len(core) :]]
+        return self.parts[word]
+
+    def __call__(self, text: str) -> bytes:
+        if "<|" not in text:
+            try:
+                text.encode("latin-1")
+                text = text.lower()
+            except UnicodeEncodeError:
+                pass
+        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return b"".join(map(self.words.__getitem__, words))
+
+
+@functools.cache
+def word_tokenizer(path: str) -> WordTokenizer:
+    return WordTokenizer(path)
 
 
 def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every row of docs (doc_id, text); null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, cache = _tokenizer(tokenizer_path), {}
+        tokenizer = word_tokenizer(tokenizer_path)
         for batch in batches:
             rows: list[list] = [[], [], [], [], []]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = token_bytes(text.as_py() or "", tokenizer, cache) + b"\0\0\0\0"
+                ids = tokenizer(text.as_py() or "") + b"\0\0\0\0"
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     for column, value in zip(rows, (doc, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
