@@ -148,7 +148,7 @@ def build(counts: dict[str, dict[str, int]]) -> LanguageModel:
         codes.append(code[order])
         rows.append(len(table) + order)
         table += [np.log((v + 0.5) / total) for v in own.values()]
-    return LanguageModel(languages, {w: i for i, w in enumerate(words)}, codes, rows, np.array(table).reshape(-1, k))
+    return LanguageModel(languages, {w: i for i, w in enumerate(words)}, codes, rows, np.array(table).reshape(len(table), k))
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
