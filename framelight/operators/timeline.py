@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from framelight.functions.text import UNKNOWN_TOKEN, common_block, fold, plausible, truthy
+from framelight.functions.text import UNKNOWN_TOKEN, fold, plausible, truthy
 
 #: Gates of a partial match: letters in common, share of the token, share of the text from its start and elsewhere.
 LEAST_BLOCK, TOKEN_SHARE, START_SHARE, INNER_SHARE = 3, 0.5, 0.5, 0.6
@@ -15,18 +15,25 @@ def partial_matches(tokens: DataFrame, catalog: DataFrame) -> DataFrame:
     """token, mapped, confidence, from distinct tokens (token) and texts (complete_text, ord), both distinct.
 
     The best text by the share of it that the longest common block covers; of equals the first by ord. A block
-    of LEAST_BLOCK letters means that a group of as many letters is shared, so pairs come from an equi-join on
-    letter groups and no token meets the whole catalog.
+    must hold TOKEN_SHARE of the token, so only the token's longer substrings are looked up among those of the
+    texts, by an equi-join on the substring: no token meets the whole catalog. The longest block counts, of equals
+    the one that ends first in the token, at its first place in the text.
     """
-    groups = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - (LEAST_BLOCK - 1), F.lit(1))), lambda i: F.substring(c, i, F.lit(LEAST_BLOCK))))
     t = tokens.select("token", fold(F.col("token")).alias("t_")).where(F.length("t_") >= LEAST_BLOCK)
     c = catalog.select("complete_text", "ord", fold(F.col("complete_text")).alias("c_")).where(F.length("c_") >= LEAST_BLOCK)
-    pairs = t.withColumn("g_", F.explode(groups(F.col("t_")))).join(c.withColumn("g_", F.explode(groups(F.col("c_")))), "g_").select("token", "t_", "complete_text", "ord", "c_").distinct()
-    block = pairs.withColumn("b_", common_block(F.col("t_"), F.col("c_")))
-    share = F.col("b_.length") / F.length("c_")
-    ok = (F.col("b_.length") >= LEAST_BLOCK) & (F.col("b_.length") / F.length("t_") >= TOKEN_SHARE) & (share >= F.when(F.col("b_.start") == 0, START_SHARE).otherwise(INNER_SHARE))
-    best = F.max_by(F.struct(F.col("complete_text").alias("mapped"), share.alias("confidence")), F.struct(share, -F.col("ord")))
-    return block.where(ok).groupBy("token").agg(best.alias("m_")).select("token", "m_.mapped", "m_.confidence")
+    need = F.greatest(F.lit(LEAST_BLOCK), F.ceil(F.length("t_") * TOKEN_SHARE).cast("int"))
+    t = t.withColumn("need_", need).withColumn("i_", F.explode(F.sequence(F.lit(1), F.length("t_") - F.col("need_") + 1)))
+    t = t.withColumn("n_", F.explode(F.sequence(F.col("need_"), F.length("t_") - F.col("i_") + 1)))
+    t = t.select("token", "n_", (F.col("i_") + F.col("n_")).alias("end_"), F.col("t_").substr(F.col("i_"), F.col("n_")).alias("s_"))
+    c = c.withColumn("i_", F.explode(F.sequence(F.lit(1), F.length("c_") - LEAST_BLOCK + 1)))
+    c = c.withColumn("n_", F.explode(F.sequence(F.lit(LEAST_BLOCK), F.length("c_") - F.col("i_") + 1)))
+    c = c.groupBy("complete_text", "ord", F.length("c_").alias("size_"), F.col("c_").substr(F.col("i_"), F.col("n_")).alias("s_")).agg(F.min("i_").alias("start_"))
+    best = F.max_by(F.struct("n_", "start_"), F.struct(F.col("n_"), -F.col("end_"), -F.col("start_")))
+    block = t.join(c, "s_").groupBy("token", "complete_text", "ord", "size_").agg(best.alias("b_"))
+    share = F.col("b_.n_") / F.col("size_")
+    ok = share >= F.when(F.col("b_.start_") == 1, START_SHARE).otherwise(INNER_SHARE)
+    first = F.max_by(F.struct(F.col("complete_text").alias("mapped"), share.alias("confidence")), F.struct(share, -F.col("ord")))
+    return block.where(ok).groupBy("token").agg(first.alias("m_")).select("token", "m_.mapped", "m_.confidence")
 
 
 def associated(words: DataFrame, catalog: DataFrame) -> DataFrame:

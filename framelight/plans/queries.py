@@ -338,9 +338,9 @@ def ranked_suggestions(spark, read):
     return catalog.ranked_suggestions(_catalog(read).select(F.col("complete_text").alias("text")), "TH", 20)
 
 
-@query("SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), '1')")
+@query("SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 'a')")
 def search_rows(spark, read):
-    return catalog.search_rows(read("part").select("p_partkey", "p_name", F.col("p_name").alias("mapped_complete_text")), " 1 ").select("p_partkey", "p_name")
+    return catalog.search_rows(read("part").select("p_partkey", "p_name", F.col("p_name").alias("mapped_complete_text")), " A ").select("p_partkey", "p_name")
 
 
 # --- facets ------------------------------------------------------------------------------------------------------
