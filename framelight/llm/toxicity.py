@@ -181,7 +181,7 @@ class Reader:
                     rest = np.max([self.active[t] for t in found], axis=0)
                     if (rest > np.max(rows, axis=0) + 1e-6).any():
                         rows.append(rest)
-                yield np.array(rows, np.float32).reshape(-1, len(self.landmarks.words))
+                yield np.array(rows, np.float32).reshape(len(rows), len(self.landmarks.words))
 
 
 @dataclass
