@@ -44,7 +44,7 @@ def frame_ranges(rows: DataFrame, keys: list[str], frame: str) -> DataFrame:
 
 def expanded_ranges(text: Column) -> Column:
     """The sorted distinct frames of a text like 10-12;20; reversed ends are swapped, what is no number is skipped."""
-    parts = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), ";"), F.trim), lambda p: p.rlike(r"^\d+(\s*-\s*\d+)?$"))
+    parts = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), ";"), lambda p: F.trim(p)), lambda p: p.rlike(r"^\d+(\s*-\s*\d+)?$"))
     one = lambda p: F.regexp_extract(p, r"^(\d+)", 1).cast("long")
     two = lambda p: F.regexp_extract(p, r"(?:^|-)\s*(\d+)$", 1).cast("long")
     return F.array_sort(F.array_distinct(F.flatten(F.transform(parts, lambda p: F.sequence(F.least(one(p), two(p)), F.greatest(one(p), two(p)))))))
