@@ -245,7 +245,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> T
     """
     marks = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     marks = bounded_sample(marks.where(~held_out(F.col("doc_id"))), F.col("doc_id"), sample_rows)
-    known = docs.where("text is not null").select("doc_id", "text").join(marks, "doc_id")
+    known = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(marks), "doc_id")  # bounded by sample_rows
     words = F.array_distinct(F.split(F.regexp_replace(F.lower("text"), r"[^\p{L}\s]", ""), r"\s+"))
     counted = known.select("toxic", F.explode(words).alias("word")).groupBy("word").agg(F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("a"), F.sum(F.when(F.col("toxic") == 1, 0).otherwise(1)).alias("b"))
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
