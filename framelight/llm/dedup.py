@@ -21,6 +21,8 @@ HASHES = BANDS * BAND_ROWS
 LEAST_AGREEING = 0.62
 #: Texts that meet in one task of the exact check, and of the comparison of signatures.
 SETS_PER_TASK, BLOCK = 64, 2_000
+#: Shingles of a block's texts, about: 16 MB.
+SHINGLES_PER_BLOCK = 2_000_000
 
 _random = np.random.default_rng(20240229)
 _FACTORS = _random.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -98,11 +100,25 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, set1 long, set2 long, keys array<long>, minima binary")
 
 
-def _agreeing(one: pd.Series, two: pd.Series) -> pd.Series:
+def _agreeing(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """How many of the minima of each row agree: truth bytes are added eight at a time (20 at most in a byte)."""
+    lanes = (one == two).view(np.uint64).sum(axis=1, dtype=np.uint64)
+    return ((lanes * np.uint64(0x0101010101010101)) >> np.uint64(56)).astype(np.int64)
+
+
+def _minima_of(raw: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(raw), np.uint16).reshape(-1, HASHES)
+
+
+def _agree(one: pd.Series, two: pd.Series) -> pd.Series:
     if not len(one):
-        return pd.Series(dtype="float64")
-    a, b = (np.frombuffer(b"".join(x), np.uint16).reshape(-1, HASHES) for x in (one, two))
-    return pd.Series((a == b).mean(axis=1))
+        return pd.Series(dtype="bool")
+    return pd.Series(_agreeing(_minima_of(one), _minima_of(two)) >= LEAST_AGREEING * HASHES)
+
+
+def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def _stars(edges: DataFrame, per: int) -> tuple[DataFrame, DataFrame]:
@@ -119,8 +135,7 @@ def _plausible(edges: DataFrame, marks: DataFrame) -> DataFrame:
     members = rows.join(marks, "doc_id")
     middle = centers.join(marks.select(F.col("doc_id").alias("center"), F.col("minima").alias("middle")), "center")
     met = members.join(middle, ["center", "part"])
-    estimate = F.pandas_udf(_agreeing, "double")
-    return met.where(estimate("minima", "middle") >= LEAST_AGREEING).select("center", "doc_id")
+    return met.where(F.pandas_udf(_agree, "boolean")("minima", "middle")).select("center", "doc_id")
 
 
 def _confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -135,8 +150,7 @@ def _confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         middles = [a for a, m in zip(got, pdf["middle"], strict=True) if m]
         for doc, a, m in zip(pdf["doc_id"], got, pdf["middle"], strict=True):
             for b in middles if not m else ():
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                if 100 * both >= percent * (len(a) + len(b) - both):
+                if _similar(a, b, percent):
                     out.append(doc)
                     break
         return pd.DataFrame({"center": pdf["center"].iloc[:1].repeat(len(out)).to_numpy(), "doc_id": np.array(out, np.int64)})
@@ -144,36 +158,44 @@ def _confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.groupBy("center", "part").applyInPandas(check, "center long, doc_id long")
 
 
-def _rest(members: DataFrame, marks: DataFrame, components: DataFrame, most: int) -> DataFrame:
-    """(center, doc_id, more) pairs of plausible texts that share a bucket but no component yet.
+def _rest(members: DataFrame, marks: DataFrame, sets: DataFrame, components: DataFrame, percent: int) -> DataFrame:
+    """(center, doc_id) links between bucket partners that are in different components still.
 
-    For each text the `most` likeliest partners of each block; `more` tells that there are others. Buckets of
-    many texts are compared block by block, so no task holds one whole.
+    Signatures pick the pairs and full sets confirm them where they meet, so only links leave a task, fewer than it
+    has texts: a pair whose components a link before it has joined needs no look. Buckets of many texts, or of
+    long ones, meet block by block, so no task holds one whole.
     """
-    known = members.join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    mixed = known.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("degree")).where("low <> high")
-    mixed = mixed.withColumn("blocks", F.ceil(F.col("degree") / BLOCK).cast("int"))
-    rows = join_skewed(known, mixed.select("key", "blocks", "degree"), "key", known.count()).join(marks, "doc_id")
+    known = members.join(marks.select("doc_id", "n_shingles"), "doc_id").join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    known = cut(known)
+    mixed = known.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("degree"), F.sum("n_shingles").alias("load")).where("low <> high")
+    mixed = mixed.withColumn("blocks", F.ceil(F.greatest(F.col("degree") / BLOCK, F.col("load") / SHINGLES_PER_BLOCK)).cast("int"))
+    rows = join_skewed(known, mixed.select("key", "blocks", "degree"), "key", known.count())
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", "doc_id", "component", "minima", "own", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"))
+    dealt = dealt.select("key", "doc_id", "component", "own", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"))
+    met = dealt.join(marks.select("doc_id", "minima"), "doc_id").join(sets, "doc_id")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("doc_id", kind="stable")
+        ids, own = pdf["doc_id"].to_numpy(), pdf["own"].to_numpy()
         one, two = pdf["one"].iloc[0], pdf["two"].iloc[0]
-        left, right = pdf[pdf["own"] == one], pdf[pdf["own"] == two]
-        found = []
-        if pdf["component"].nunique() > 1 and len(left) and len(right):
-            b = np.frombuffer(b"".join(right["minima"]), np.uint16).reshape(-1, HASHES)
-            ids, parts = right["doc_id"].to_numpy(), right["component"].to_numpy()
-            for doc, part, raw in zip(left["doc_id"], left["component"], left["minima"], strict=True):
-                agreeing = (b == np.frombuffer(raw, np.uint16)).mean(axis=1)
-                ok = np.flatnonzero((agreeing >= LEAST_AGREEING) & (parts != part) & ((ids > doc) if one == two else True))
-                order = ok[np.lexsort((ids[ok], -agreeing[ok]))][:most]
-                found += [(min(doc, x), max(doc, x), len(ok) > most) for x in ids[order]]
-        return pd.DataFrame(found, columns=["center", "doc_id", "more"]).astype({"center": "int64", "doc_id": "int64", "more": "bool"})
-
-    pairs = dealt.groupBy("key", "one", "two").applyInPandas(compare, "center long, doc_id long, more boolean")
-    return pairs.groupBy("center", "doc_id").agg(F.max("more").alias("more"))
+        label = np.unique(pdf["component"], return_inverse=True)[1]
+        texts = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
+        size, low = np.array([len(x) for x in texts]), _minima_of(pdf["minima"])
+        right, found = np.flatnonzero(own == two), []
+        for a in np.flatnonzero(own == one):
+            near = right[(label[right] != label[a]) & (100 * np.minimum(size[right], size[a]) >= percent * np.maximum(size[right], size[a]))]
+            if one == two:
+                near = near[near > a]
+            agreeing = _agreeing(low[near], low[a])
+            likely = np.flatnonzero(agreeing >= LEAST_AGREEING * HASHES)
+            for b in near[likely[np.argsort(-agreeing[likely], kind="stable")]]:
+                if label[a] != label[b] and _similar(texts[a], texts[b], percent):
+                    found.append((min(ids[a], ids[b]), max(ids[a], ids[b])))
+                    label[label == label[b]] = label[a]
+        return pd.DataFrame(found, columns=["center", "doc_id"]).astype("int64")
+
+    return met.groupBy("key", "one", "two").applyInPandas(compare, "center long, doc_id long").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -182,8 +204,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     Texts link if their sets of `width`-word shingles have a Jaccard similarity of percent / 100 or more;
     component_id is the least doc_id that links reach, kept tells whether it is the row's own. Texts with equal
     sets form a class first, and classes compare by their least doc_id. Bands propose pairs: every text with the
-    least one of its bucket, and after these are confirmed, in rounds, whatever bucket partners are in another
-    component still, until none is left; so no proposed link is lost and no bucket makes all its pairs. Rows
+    least one of its bucket, and after these are confirmed, whatever bucket partners are in another component
+    still; so no proposed link between components is lost and no bucket makes rows of all its pairs. Rows
     that share a doc_id are one document. Null or blank texts have no shingles and link with nothing; a null
     doc_id takes no part, component_id is null and kept false.
     """
@@ -192,14 +214,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     usable = marked.where("doc_id is not null and n_shingles > 0")
     classes = usable.groupBy("set1", "set2").agg(F.min("doc_id").alias("first"))
     copies = usable.select("set1", "set2", "doc_id").distinct()
-    reps = usable.join(classes.withColumnRenamed("first", "doc_id"), ["set1", "set2", "doc_id"]).select("doc_id", "keys", "minima")
+    reps = usable.join(classes.withColumnRenamed("first", "doc_id"), ["set1", "set2", "doc_id"]).select("doc_id", "n_shingles", "keys", "minima")
     reps = cut(reps)
     spread = reps.select(F.explode("keys").alias("key"), "doc_id")
     buckets = cut(spread.groupBy("key").agg(F.min("doc_id").alias("center"), F.count("*").alias("degree")).where("degree > 1"))
     met = buckets.agg(F.coalesce(F.sum("degree"), F.lit(0))).first()[0]
     members = cut(join_skewed(spread, buckets, "key", met))
     edges = members.where("center <> doc_id").select("center", "doc_id").distinct()
-    marks = reps.select("doc_id", "minima").join(members.select("doc_id").distinct(), "doc_id", "left_semi")
+    marks = reps.select("doc_id", "n_shingles", "minima").join(members.select("doc_id").distinct(), "doc_id", "left_semi")
     marks = cut(marks.dropDuplicates(["doc_id"]))
 
     hit = members.select("doc_id").distinct()
@@ -212,19 +234,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     sets = cut(docs.join(hit, "doc_id", "left_semi").mapInArrow(sets_of, "doc_id long, shingles binary"))
 
-    found = cut(_confirmed(cut(_plausible(edges, marks)), sets, percent))
-    most = 4
-    while True:
-        components = cut(connected_components(found.select(F.col("center").alias("u"), F.col("doc_id").alias("v"))))
-        rest = cut(_rest(members.select("key", "doc_id").distinct(), marks, components, most))
-        n, more = rest.agg(F.count("*"), F.max("more")).first()
-        if not n:
-            break
-        found = cut(found.unionByName(_confirmed(rest.select("center", "doc_id"), sets, percent)))
-        if not more:
-            components = cut(connected_components(found.select(F.col("center").alias("u"), F.col("doc_id").alias("v"))))
-            break
-        most *= 8
+    found = cut(_confirmed(cut(_plausible(edges, marks.select("doc_id", "minima"))), sets, percent))
+    components = cut(connected_components(found.select(F.col("center").alias("u"), F.col("doc_id").alias("v"))))
+    rest = cut(_rest(members.select("key", "doc_id").distinct(), marks, sets, components, percent))
+    if not rest.isEmpty():
+        # The links so far count as one from each text to its component.
+        found = components.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
+        ends = rest.select(F.col("center").alias("u"), F.col("doc_id").alias("v"))
+        components = cut(connected_components(found.unionByName(ends)))
     for table_ in (sets, reps, buckets, members):
         uncut(table_)
     joined = copies.join(classes, ["set1", "set2"])
