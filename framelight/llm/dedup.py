@@ -21,8 +21,8 @@ HASHES = BANDS * BAND_ROWS
 LEAST_AGREEING = 0.62
 #: Texts that meet in one task of the exact check, and of the comparison of signatures.
 SETS_PER_TASK, BLOCK = 64, 2_000
-#: Shingles of a block's texts, about: 16 MB.
-SHINGLES_PER_BLOCK = 2_000_000
+#: Shingles of a block's texts, about: 8 MB. Texts whose sets a worker makes at once.
+SHINGLES_PER_BLOCK, SLICE = 1_000_000, 500
 
 _random = np.random.default_rng(20240229)
 _FACTORS = _random.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -79,12 +79,19 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, a few at a time, so that a worker holds the sets of few texts."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def signatures(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, n_shingles, set1, set2 (128 bits that name the set), keys (of the bands), minima (16 bits of each)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
-        for batch in batches:
+        for batch in _slices(batches):
             n, one, two, keys, low = [], [], [], [], []
             for text in batch.column(1):
                 found = shingle_set(text.as_py(), width, hashes)
@@ -228,7 +235,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
-        for batch in batches:
+        for batch in _slices(batches):
             got = [shingle_set(x.as_py(), width, hashes).tobytes() for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.binary())], names=["doc_id", "shingles"])
 
