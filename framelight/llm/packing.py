@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from framelight.llm.common import WordCache, cut, table
 
 CAPACITY = 2048
-#: Rounds of multiplicative weights, how steeply a covered length's price falls, and the share of each length that
-#: the program covers; the rest is left to the rounding, which needs pieces of every length to fill gaps with.
-ROUNDS, STEEP, SHARE = 150, 40.0, 0.85
+#: How steeply a covered length's price falls, how much dearer than by its tokens a long piece is at first, and how
+#: far below the dearest a configuration may be that is still used at a round's prices.
+STEEP, LONG, NEAR = 0.3, 0.005, 0.005
 #: Pieces of one length that are numbered within one task.
 RUN_ROWS = 50_000
 
@@ -90,27 +90,31 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) ->
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def _best_config(price: np.ndarray, left: np.ndarray, lengths: np.ndarray, capacity: int) -> dict[int, int]:
-    """Knapsack by dynamic programming over the capacity: the dearest multiset of lengths that fits."""
+def _worth(price: np.ndarray, capacity: int) -> np.ndarray:
+    """Knapsack by dynamic programming: the worth of the dearest multiset of lengths for every room up to the capacity."""
     best = np.zeros(capacity + 1)
-    pick = np.full(capacity + 1, -1, np.int32)
     for c in range(1, capacity + 1):
-        best[c], pick[c] = best[c - 1], -1
-        n = np.searchsorted(lengths, c, "right")
-        if n:
-            value = best[c - lengths[:n]] + price[:n]
-            k = int(value.argmax())
-            if value[k] > best[c]:
-                best[c], pick[c] = value[k], k
+        best[c] = max(best[c - 1], (price[1 : c + 1] + best[c - 1 :: -1]).max())
+    return best
+
+
+def _config(price: np.ndarray, best: np.ndarray, left: np.ndarray, capacity: int) -> dict[int, int]:
+    """A dear configuration of pieces that are left: the knapsack's way back, around lengths that it has used up.
+
+    Of equal ways it takes the longest piece. It ends when no piece that is left fits.
+    """
     config: dict[int, int] = defaultdict(int)
-    c = capacity
-    while c > 0:
-        if pick[c] < 0:
-            c -= 1
-        else:
-            config[int(pick[c])] += 1
-            c -= int(lengths[pick[c]])
-    return {k: min(n, int(left[k])) for k, n in config.items() if left[k] > 0}
+    price, room = price.copy(), capacity
+    while room:
+        value = price[room:0:-1] + best[:room]
+        k = room - int(value.argmax())
+        if price[k] == -np.inf:
+            break
+        config[k] += 1
+        room -= k
+        if config[k] == left[k]:
+            price[k] = -np.inf
+    return dict(config)
 
 
 def _best_fit(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
@@ -132,47 +136,64 @@ def _best_fit(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int
     return out
 
 
+def _gap(config: dict[int, int], capacity: int) -> int:
+    return capacity - sum(x * n for x, n in config.items())
+
+
+def program(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
+    """(configuration, times) that cover every piece of the histogram {length: count}, by multiplicative weights.
+
+    The covering program is "as few configurations as hold every piece". A length's price falls as it is covered,
+    from a start a little above its tokens for long pieces, and the knapsack gives the dearest configuration. A
+    round's knapsack serves as long as configurations within NEAR of its dearest come out at the prices as they
+    fall. Uses are whole numbers, half of what is left of the scarcest length, and no length is used beyond its
+    count, so rounding loses nothing; rounds go on until every length is covered, as each covers a piece at least.
+    """
+    need = np.zeros(capacity + 1)
+    for x, n in histogram.items():
+        need[x] = max(n, 0)
+    left = need.astype(np.int64)
+    start = (np.arange(capacity + 1) / capacity) ** (1 + LONG)
+    out = []
+    while left.any():
+        gap = 1 - left / np.maximum(need, 1)
+        low = gap[left > 0].min()
+        price = np.where(left > 0, start * np.exp(-STEEP * (gap - low)), -np.inf)
+        best = _worth(price, capacity)
+        fresh = True
+        while left.any():
+            config = _config(price, best, left, capacity)
+            if not fresh and sum(price[x] * n for x, n in config.items()) < (1 - NEAR) * best[capacity]:
+                break
+            fresh = False
+            times = max(1, min(int(left[x]) // n for x, n in config.items()) // 2)
+            out.append((config, times))
+            for x, n in config.items():
+                left[x] -= n * times
+                price[x] = start[x] * np.exp(-STEEP * (1 - left[x] / need[x] - low)) if left[x] else -np.inf
+    return out
+
+
 def configurations(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
     """(configuration, times) whose sum is the histogram {length: count}; each configuration fits the capacity.
 
-    The covering program "as few configurations as hold every piece" is solved by multiplicative weights: a
-    length's price falls as the chosen configurations cover it, and the knapsack gives the dearest
-    configuration at these prices. Rounding takes the whole part of every configuration that fills its sequence;
-    what that leaves is packed by best fit.
+    The program's configurations, whole ones and ones with a gap. The remainder is what it puts into sequences that
+    leave more than NEAR of the capacity empty; best fit packs these pieces anew where it needs fewer sequences.
+    Should best fit of all pieces need less than 1 - NEAR of these sequences, as it may for a handful of lengths, its
+    packing is returned.
     Depends on the histogram only, which has no more entries than the capacity.
     """
-    done = []
-    left = {x: n for x, n in histogram.items() if n > 0}
-    if n := left.pop(capacity, 0):
-        done.append(({capacity: 1}, n))
-    if not left:
-        return done
-    lengths = np.array(sorted(left))
-    need = np.array([left[int(x)] for x in lengths], float)
-    covered = np.zeros(len(lengths))
-    uses: dict[tuple, float] = defaultdict(float)
-    for _ in range(ROUNDS):
-        # Prices are per piece: the weight of a length's constraint over the pieces that it asks for.
-        gap = covered / need
-        price = np.exp(-STEEP * (gap - gap.min())) * lengths / capacity
-        price[gap >= SHARE] = 0
-        if not price.any():
-            break
-        config = _best_config(price, np.maximum(need - covered, 0).round(), lengths, capacity)
-        if not config:
-            break
-        room = min((need[k] - covered[k]) / n for k, n in config.items())
-        step = min(room, max(1.0, room / 4))
-        uses[tuple(sorted(config.items()))] += step
-        for k, n in config.items():
-            covered[k] += n * step
-    for config, times in uses.items():
-        times = int(times + 1e-9)
-        if times and sum(int(lengths[k]) * n for k, n in config) == capacity:
-            done.append(({int(lengths[k]): n for k, n in config}, times))
-            for k, n in config:
-                left[int(lengths[k])] -= n * times
-    return done + _best_fit({x: n for x, n in left.items() if n > 0}, capacity)
+    found = program(histogram, capacity)
+    loose = [(c, n) for c, n in found if _gap(c, capacity) > NEAR * capacity]
+    rest: dict[int, int] = defaultdict(int)
+    for config, times in loose:
+        for x, n in config.items():
+            rest[x] += n * times
+    anew = _best_fit(rest, capacity)
+    if sum(n for _, n in anew) < sum(n for _, n in loose):
+        found = [(c, n) for c, n in found if _gap(c, capacity) <= NEAR * capacity] + anew
+    plain = _best_fit({x: n for x, n in histogram.items() if n > 0}, capacity)
+    return plain if sum(n for _, n in plain) < (1 - NEAR) * sum(n for _, n in found) else found
 
 
 def _slots(configs: list[tuple[dict[int, int], int]], capacity: int) -> dict[str, np.ndarray]:

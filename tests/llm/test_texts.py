@@ -82,6 +82,23 @@ def test_packing_round_trip(spark):
     assert packing.pack(docs(spark, ["a"]).limit(0), path).count() == 0
 
 
+def test_packing_program_covers_every_length(monkeypatch):
+    r = np.random.default_rng(1)
+    drawn = {name: dict(zip(*(x.tolist() for x in np.unique(r.integers(a, b, 20_000), return_counts=True)))) for name, a, b in (("wide", 300, 1300), ("hard", 650, 750))}
+    wide = 1.01 * sum(x * n for x, n in drawn["wide"].items()) / 2048
+    for name, most in (("wide", wide), ("hard", 8_150)):
+        plan, seen = packing.configurations(drawn[name]), {}
+        for config, times in plan:
+            assert sum(x * n for x, n in config.items()) <= 2048
+            for x, n in config.items():
+                seen[x] = seen.get(x, 0) + n * times
+        assert seen == drawn[name] and sum(times for _, times in plan) <= most
+    assert packing.configurations({}) == [] and sum(times for _, times in packing.configurations({1: 5, 2048: 2, 7: 0})) == 3
+    # Without a best fit to speak of, a sequence for each piece, the program alone still packs.
+    monkeypatch.setattr(packing, "_best_fit", lambda counts, capacity: [({x: 1}, n) for x, n in counts.items()])
+    assert sum(times for _, times in packing.configurations(drawn["wide"])) <= wide
+
+
 def test_token_counts():
     path = P.path("piece_bpe_32k.model")
     import sentencepiece
