@@ -17,12 +17,11 @@ ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "random")
-#: A random string: so long at least, with a digit and letters in both cases, of so few characters a token.
+#: A random string: so long at least, of so few characters a token.
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-MIXED = re.compile(r"(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])", re.ASCII)
 CHARS_PER_TOKEN = 2.0
 #: Digests and identifiers that are random but no secrets: UUIDs, hexadecimal digests, integrity hashes.
-KNOWN = re.compile(r"(?:[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}|[0-9a-f]+|[0-9A-F]+|sha(?:1|256|384|512)[-=][A-Za-z0-9+/]+=*|[A-Za-z]+|[0-9_=-]+)\Z")
+KNOWN = re.compile(r"(?:[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}|[0-9a-f]+|[0-9A-F]+|sha(?:1|256|384|512)[-=][A-Za-z0-9+/]+=*|[0-9_=-]+)\Z")
 
 
 @functools.cache
@@ -54,7 +53,7 @@ def find_secrets(text: str, vocabulary: str) -> list[tuple[int, int, str]]:
     if longest >= 20:
         for m in RUN.finditer(text):
             run = m[0].strip("=-_/+")
-            if len(run) >= 20 and MIXED.match(run) and not KNOWN.match(run) and not any(s < m.end() and m.start() < e for s, e, _ in base):
+            if len(run) >= 20 and not KNOWN.match(run) and not any(s < m.end() and m.start() < e for s, e, _ in base):
                 if len(run) < CHARS_PER_TOKEN * len(_encoding(vocabulary).encode_ordinary(run)):
                     out.append((*m.span(), 3))
     return [(s, e, KINDS[k]) for s, e, k in sorted(out, key=lambda x: (x[0], x[2]))]

@@ -121,6 +121,16 @@ def test_secrets(spark):
     assert "hunter2" not in got[0].text and got[0].n_chars == len(got[0].text) and got[1].text is None and got[2].text == "plain"
 
 
+def test_secrets_in_one_case(spark):
+    v, r = P.path("byte_bpe_50k.tiktoken"), np.random.default_rng(4)
+    kinds = ("abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    runs = ["".join(r.choice(list(signs), 40)) for signs in kinds for _ in range(20)]
+    assert all(secret_scan.find_secrets(f"a {x} b", v) == [(2, 42, "random")] for x in runs)
+    assert [x.text for x in secret_scan.redacted(docs(spark, [f"a {runs[0]} b"]), v).collect()] == ["a <random> b"]
+    clean = ["123e4567-e89b-12d3-a456-426614174000", "0123456789abcdef01234567", "internationalization-of-documents", "MAX_NUMBER_OF_CONNECTIONS", "getElementsByClassNameAndValue", "2024-01-02-03-04-05-06", "path/to/some/other/folder"]
+    assert all(secret_scan.find_secrets(x, v) == [] for x in clean)
+
+
 def test_html():
     model = html_text.default_model()
     page = html_text.labelled_pages(60, seed=5)
