@@ -96,16 +96,25 @@ def mix(docs: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of docs as often as the mix takes them, with the same columns.
 
-    The copy at the budget's end holds its first words only; documents without words are left out. Rows that
-    share a doc_id must be alike in text, or each gets the other's copies too; deduplicate first.
+    The copy at the budget's end holds its first words only; documents without words are left out. Rows alike in
+    doc_id, source and size stand next to each other in the order, so their sum says what each takes: in turn a
+    copy each, again and again, the last in part. They are numbered by their text and other columns; rows alike
+    in these too are interchangeable.
     """
-    taken = mix(docs).where("taken > 0").groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("taken"), F.count("*").alias("alike"))
+    taken = mix(docs).groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("taken"), F.count("*").alias("alike")).where("taken > 0")
     names = docs.columns
     joined = docs.alias("d").withColumn("size_", words_in(F.col("text"))).join(
         taken.alias("t"), F.col("d.doc_id").cast("long").eqNullSafe(F.col("t.doc_id")) & F.col("d.source").eqNullSafe(F.col("t.source")) & (F.col("size_") == F.col("t.size")))
-    share = F.floor(F.col("t.taken") / F.col("t.alike"))
-    copy = F.explode(F.sequence(F.lit(1), F.ceil(share / F.col("size_")).cast("int"))).alias("copy_")
-    rows = joined.where(share > 0).select(*[F.col(f"d.{c}") for c in names], F.col("size_"), share.alias("share_"), copy)
+    joined = joined.select(*[F.col(f"d.{c}") for c in names], F.col("size_"), F.col("t.taken").alias("taken_"), F.col("t.alike").alias("alike_"))
+    nth = F.row_number().over(Window.partitionBy("doc_id", "source", "size_").orderBy("text", *[c for c in names if c not in ("doc_id", "source", "text")])) - 1
+    single = joined.where("alike_ = 1").withColumn("share_", F.col("taken_"))
+    several = joined.where("alike_ > 1").withColumn("nth_", nth)
+    copies, words = F.expr("taken_ div size_"), F.col("taken_") % F.col("size_")
+    turn = copies % F.col("alike_")
+    share = F.col("size_") * (F.expr("taken_ div size_ div alike_") + (F.col("nth_") < turn).cast("long")) + F.when(F.col("nth_") == turn, words).otherwise(0)
+    rows = single.unionByName(several.withColumn("share_", share).drop("nth_")).where("share_ > 0")
+    copy = F.explode(F.sequence(F.lit(1), F.ceil(F.col("share_") / F.col("size_")).cast("int"))).alias("copy_")
+    rows = rows.select(*names, "size_", "share_", copy)
     keep = F.col("share_") - (F.col("copy_") - 1) * F.col("size_")
     begun = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), 1), F.lit(1), keep.cast("int")), " ")
     text = F.when(keep >= F.col("size_"), F.col("text")).otherwise(begun)

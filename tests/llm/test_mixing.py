@@ -76,3 +76,17 @@ def test_documents_as_often_as_taken(spark):
     for r in mixed_documents(docs).collect():
         words[r.doc_id] += len(r.text.split())
     assert dict(words) == {r.doc_id: r.taken for r in mix(docs).collect() if r.taken}
+
+
+def test_rows_alike_keep_their_own_copies(spark):
+    rows = [(None, f"u{i} v{i} w{i}", "a", "x") for i in range(7)] + [(5, f"p{i}", "a", "x") for i in range(5)] + [(i, "k " * (i % 4 + 1), f"s{i % 3}", "x") for i in range(10, 40)]
+    want = sorted(t for doc, n, _, _, taken in brute(rows) if doc in (None, 5) for t in [n] * (taken // n) + [taken % n] * (taken % n > 0))
+    got = [r for r in mixed_documents(spark.createDataFrame(rows, SCHEMA)).collect() if r.doc_id in (None, 5)]
+    assert sorted(len(r.text.split()) for r in got) == want
+    texts = {t for _, t, _, _ in rows}
+    assert sum(r.text not in texts for r in got) <= 1
+    assert sum(len(r.text.split()) for r in mixed_documents(spark.createDataFrame(rows, SCHEMA)).collect()) == sum(len(t.split()) for _, t, _, _ in rows)
+    # Two rows of which one fits: whole, not both by halves.
+    two = [(1, "a b", "a", "x"), (1, "c d", "a", "x"), (2, "e f g h", "b", "x"), (3, "i j", "b", "x")]
+    mixed = mixed_documents(spark.createDataFrame(two, SCHEMA)).collect()
+    assert sorted(len(r.text.split()) for r in mixed if r.doc_id == 1) == sorted(t for doc, _, _, _, taken in brute(two) if doc == 1 for t in [2] * (taken // 2) + [1] * (taken % 2))
