@@ -14,8 +14,9 @@ from framelight.llm.common import bounded_sample, cut, join_skewed, table
 from framelight.llm.components import connected_components
 
 LEAST_COSINE = 0.93
-#: Vectors that the centres are fitted on at most, centres of one label at most, rounds, vectors aimed at for a cell.
-SAMPLE_ROWS, CENTRES, ROUNDS, CELL_ROWS = 20_000, 64, 8, 4_096
+#: Vectors that the centres are fitted on at most, rounds, vectors aimed at for a cell, vectors of a label from which on
+#: it has two cells at least, and bytes of all centres at most, the bound of what is broadcast.
+SAMPLE_ROWS, ROUNDS, CELL_ROWS, TWO_CELLS, CENTRE_BYTES = 20_000, 8, 4_096, 64, 32 << 20
 #: Vectors of one side of a block of products.
 BLOCK = 4_096
 
@@ -25,23 +26,35 @@ def _unit(column) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
-def fit_centres(vectors: DataFrame, n_vectors: int) -> dict[int, np.ndarray]:
-    """Unit centres by label from spherical k-means on a bounded sample; labels without a sample have one cell."""
-    got = bounded_sample(vectors, F.col("vec_id"), SAMPLE_ROWS).select("label", "vec_id", "v").toPandas()
-    share = n_vectors / max(1, len(got))
+def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
+    """At most k distinct unit centres of the unit vectors x: each round puts them into the middle of their vectors."""
+    centre = x[np.linspace(0, len(x) - 1, min(k, len(x))).astype(int)]
+    for _ in range(rounds):
+        cell = (x @ centre.T).argmax(1)
+        for c in range(len(centre)):
+            total = x[cell == c].sum(0)
+            norm = np.sqrt(total @ total)
+            if norm > 0:
+                centre[c] = total / norm
+    return np.unique(centre, axis=0)
+
+
+def fit_centres(vectors: DataFrame, cell_rows: int = CELL_ROWS) -> dict[tuple[int, int], np.ndarray]:
+    """Unit centres by (label, vector length) from spherical k-means on a bounded sample.
+
+    There are as many as the label needs for cells of `cell_rows` vectors, two at least from TWO_CELLS vectors on,
+    and CENTRE_BYTES of them in all; what has no centre here is one cell.
+    """
+    sized = vectors.withColumn("width", F.size("v"))
+    counts = {(r["label"], r["width"]): r["count"] for r in sized.groupBy("label", "width").count().orderBy(F.desc("count")).limit(SAMPLE_ROWS).collect()}
+    got = bounded_sample(sized, F.col("vec_id"), SAMPLE_ROWS).select("label", "width", "vec_id", "v").toPandas()
+    share = min(1.0, CENTRE_BYTES / max(1.0, sum(8 * w * n / cell_rows for (_, w), n in counts.items())))
     out = {}
-    for label, part in got.groupby("label"):
-        x = _unit(part.sort_values("vec_id")["v"])
-        k = int(max(1, min(CENTRES, len(x) // 8 or 1, round(len(x) * share / CELL_ROWS))))
-        centre = x[np.linspace(0, len(x) - 1, k).astype(int)]
-        for _ in range(ROUNDS if k > 1 else 0):
-            cell = (x @ centre.T).argmax(1)
-            for c in range(k):
-                if (cell == c).any():
-                    total = x[cell == c].sum(0)
-                    norm = np.sqrt(total @ total)
-                    centre[c] = total / norm if norm > 0 else centre[c]
-        out[int(label)] = np.unique(centre, axis=0)
+    for key, part in got.groupby(["label", "width"]):
+        n = counts.get(key, 0)
+        k = max(2, round(share * n / cell_rows)) if n >= TWO_CELLS else 1
+        if k > 1:
+            out[int(key[0]), int(key[1])] = spherical_kmeans(_unit(part.sort_values("vec_id")["v"]), k)
     return out
 
 
@@ -60,15 +73,16 @@ def cells_of(x: np.ndarray, centre: np.ndarray, chord: float) -> list[np.ndarray
     return [np.concatenate([[o], np.flatnonzero(n)]).astype(int) for o, n in zip(own, near, strict=True)]
 
 
-def near_vectors(embeddings: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
+def near_vectors(embeddings: DataFrame, least: float = LEAST_COSINE, cell_rows: int = CELL_ROWS) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row of embeddings (vec_id, embedding, label).
 
     Vectors of equal, non-null label link if their cosine, in doubles, is `least` or more; null or zero vectors
     and those with null or non-finite components link with nothing, nor do vectors of different lengths or with
-    a null vec_id (component_id null, kept false). Equal vectors of a label form a class, and one of each class
-    is compared. Each of these goes to its cell and, as a visitor, to every other cell that may hold a partner,
-    so none is lost. A cell's vectors meet in blocks, which return counts of links and a spanning tree of the
-    links instead of all pairs. Rows that share a vec_id and vector are copies that link with one another.
+    a null vec_id (component_id null, kept false). Rows alike in vec_id, label and vector are one vector; rows that
+    share only a vec_id are several, which have one component_id. Equal vectors of a label form a class, and one
+    of each class is compared. Each of these goes to its k-means cell and, as a visitor, to every other cell that may
+    hold a partner, so none is lost. A cell's vectors meet in blocks, which return counts of links and a spanning
+    tree of the links instead of all pairs.
     """
     spark = embeddings.sparkSession
     at = F.col("embedding").cast("array<double>")
@@ -77,23 +91,24 @@ def near_vectors(embeddings: DataFrame, least: float = LEAST_COSINE) -> DataFram
     ids = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), at.alias("v"), F.coalesce(finite & some & F.col("label").isNotNull() & F.col("vec_id").isNotNull(), F.lit(False)).alias("usable"))
     ids = ids.withColumn("hash", F.sha2(F.array_join(F.transform(F.col("v"), lambda x: (x + 0.0).cast("string")), ","), 256))
     usable = ids.where("usable")
-    classes = cut(usable.groupBy("label", "hash").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"), F.first("v").alias("v")))
-    n = classes.count()
-    centres = spark.sparkContext.broadcast(fit_centres(classes, n))  # CENTRES a label, from SAMPLE_ROWS rows
+    once = cut(usable.select("label", "hash", "vec_id").distinct())
+    copies = once.groupBy("label", "hash").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("copies"))
+    classes = usable.groupBy("label", "hash").agg(F.first("v").alias("v")).join(copies, ["label", "hash"])
+    classes = cut(classes.withColumn("vec_id", F.monotonically_increasing_id()))  # being written fixes these numbers
+    centres = spark.sparkContext.broadcast(fit_centres(classes, cell_rows))  # CENTRE_BYTES
     chord = float(np.sqrt(2 - 2 * least))
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             pdf = b.to_pandas()
-            for label, part in pdf.groupby("label"):
-                for _, same in part.groupby(part["v"].map(len)):
-                    x, centre = _unit(same["v"]), centres.value.get(int(label))
-                    cells = cells_of(x, centre, chord) if centre is not None and centre.shape[1] == x.shape[1] else [np.zeros(1, int)] * len(same)
-                    out = pd.DataFrame({"label": label, "vec_id": same["vec_id"].to_numpy(), "copies": same["copies"].to_numpy(), "v": same["v"].to_numpy(), "cell": cells})
-                    out["home"] = [[True] + [False] * (len(c) - 1) for c in cells]
-                    out = out.explode(["cell", "home"]).astype({"cell": "int64", "home": "bool"})
-                    out["cell"] += x.shape[1] * 65_536
-                    yield pa.RecordBatch.from_pandas(out, preserve_index=False)
+            for (label, width), same in pdf.groupby(["label", pdf["v"].map(len)]):
+                centre = centres.value.get((int(label), int(width)))
+                cells = cells_of(_unit(same["v"]), centre, chord) if centre is not None else [np.zeros(1, int)] * len(same)
+                out = pd.DataFrame({"label": label, "vec_id": same["vec_id"].to_numpy(), "copies": same["copies"].to_numpy(), "v": same["v"].to_numpy(), "cell": cells})
+                out["home"] = [[True] + [False] * (len(c) - 1) for c in cells]
+                out = out.explode(["cell", "home"]).astype({"cell": "int64", "home": "bool"})
+                out["cell"] += int(width) << 32
+                yield pa.RecordBatch.from_pandas(out, preserve_index=False)
 
     schema = "label long, vec_id long, copies long, v array<double>, cell long, home boolean"
     placed = cut(classes.select("label", "vec_id", "copies", "v").mapInArrow(spread, schema))
@@ -129,12 +144,16 @@ def near_vectors(embeddings: DataFrame, least: float = LEAST_COSINE) -> DataFram
     met = cut(ones.unionByName(twos).groupBy("label", "cell", "one", "two").applyInPandas(meet, "vec_id long, links long, other long"))
     links = met.groupBy("vec_id").agg(F.sum("links").alias("links"))
     edges = met.select(F.col("vec_id").alias("u"), F.col("other").alias("v"))
-    components = cut(connected_components(edges))
-    summed = classes.select("label", "hash", F.col("vec_id").alias("first"), "copies").join(links.withColumnRenamed("vec_id", "first"), "first", "left")
-    summed = summed.join(components.withColumnRenamed("node", "first"), "first", "left")
-    summed = cut(summed.select("label", "hash", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n"), F.coalesce("component", "first").alias("root"), F.col("copies").alias("degree")))
-    known = usable.select("vec_id", F.xxhash64("label", "hash").alias("key"), "label", "hash")
-    known = join_skewed(known, summed.select(F.xxhash64("label", "hash").alias("key"), "n", "root", "degree"), "key", usable.count())
+    # Rows of one vec_id with several vectors tie their classes together.
+    several = once.groupBy("vec_id").count().where("count > 1").select("vec_id")
+    tied = once.join(several, "vec_id").join(classes.select("label", "hash", F.col("vec_id").alias("class")), ["label", "hash"])
+    tied = tied.groupBy("vec_id").agg(F.min("class").alias("u"), F.collect_set("class").alias("all"))
+    components = cut(connected_components(edges.unionByName(tied.select("u", F.explode("all").alias("v")))))
+    summed = classes.select("label", "hash", "least_id", F.col("vec_id").alias("node"), "copies").join(links.withColumnRenamed("vec_id", "node"), "node", "left").join(components, "node", "left")
+    summed = cut(summed.select("label", "hash", "least_id", F.coalesce("component", "node").alias("component"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n"), F.col("copies").alias("degree")))
+    roots = summed.groupBy("component").agg(F.min("least_id").alias("root"), F.count("*").alias("degree"))
+    rooted = join_skewed(summed, roots, "component", summed.count()).select(F.struct("label", "hash").alias("key"), "n", "root", "degree")
+    known = join_skewed(usable.select("vec_id", F.struct("label", "hash").alias("key")), rooted, "key", usable.count())
     rest = ids.where("not usable").select("vec_id", F.lit(0).cast("long").alias("n"), F.col("vec_id").alias("root"))
     both = known.select("vec_id", "n", "root").unionByName(rest)
     return both.select("vec_id", F.col("n").alias("n_links"), F.col("root").alias("component_id"), F.coalesce(F.col("vec_id") == F.col("root"), F.lit(False)).alias("kept"))
