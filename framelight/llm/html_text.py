@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import functools
 import html
 import math
@@ -17,21 +18,24 @@ from pyspark.sql import functions as F
 
 from framelight.llm.common import table
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.DOTALL)
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+UNQUOTED = re.compile(r"[^>\"']*")
 NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
-HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*(?:\"[^\"]*display\s*:\s*none|'[^']*display\s*:\s*none))", re.IGNORECASE)
 #: Elements whose content is no text of the page, read up to their end tag; elements that never have content; blocks.
-RAW = frozenset(("script", "style", "template", "noscript", "title", "textarea", "iframe", "svg", "math", "object", "canvas", "select", "noframes", "xmp"))
+RAW = frozenset(("script", "style", "template", "noscript", "title", "textarea", "iframe", "svg", "select", "noframes", "xmp"))
 VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"))
 BLOCK = frozenset(("address", "article", "aside", "blockquote", "body", "button", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hr", "html", "label", "legend", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"))
 #: A start tag ends open elements of these names, up to a border.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th"), "tbody": ("thead", "tbody", "tr", "td", "th"), "body": ("head",)}
 BORDER = frozenset(("ul", "ol", "dl", "table", "menu"))
+#: Open elements at most: deeper ones leave no trace but the end of a block, as in browsers, so a page takes linear time.
+DEPTH = 512
 
 
 @dataclass
 class Block:
-    """A leaf block: its text with white space folded, open elements outside in, their class, id and role words."""
+    """A leaf block: its text with white space folded; the kinds of open elements outside in and the innermost again;
+    their class, id and role words."""
 
     text: str
     path: tuple[str, ...]
@@ -39,19 +43,73 @@ class Block:
     link_share: float
 
 
+def tags_of(source: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """(start, end, closing, name, attributes) of every tag in one forward pass; comments and the like have no name.
+
+    A quote counts after an equals sign. Where a quoted value has no end, tags from there on end at their first >.
+    """
+    at, quotes = 0, True
+    while (start := source.find("<", at)) >= 0:
+        sign = source[start + 1 : start + 2]
+        if source.startswith("<!--", start) or source.startswith("<![CDATA[", start):
+            ending = "-->" if source.startswith("<!--", start) else "]]>"
+            end = source.find(ending, start + 2)
+            at = len(source) if end < 0 else end + 3
+            yield start, at, False, "", ""
+            continue
+        name = None if sign in ("!", "?") else NAME.match(source, start + 1 + (sign == "/"))
+        if name is None and sign not in ("!", "?"):
+            at = start + 1
+            continue
+        end = begin = name.end() if name else start
+        while quotes and name:
+            end = UNQUOTED.match(source, end).end()
+            if end == len(source):
+                quotes = False
+            elif source[end] == ">":
+                break
+            else:
+                before = end - 1
+                while source[before].isspace():
+                    before -= 1
+                close = source.find(source[end], end + 1) if source[before] == "=" else end
+                quotes = close >= 0
+                end = close + 1
+        if not quotes or not name:
+            end = source.find(">", begin)
+            if end < 0:  # no tag can follow, but a comment may
+                start = source.find("<!--", start)
+                if start >= 0:
+                    yield start, len(source), False, "", ""
+                return
+        at = end + 1
+        yield start, at, sign == "/", name[0].lower() if name else "", source[begin:end]
+
+
+@functools.cache
+def _raw_end(name: str) -> re.Pattern:
+    return re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.IGNORECASE)
+
+
 def blocks_of(source: str | None) -> list[Block]:
-    """The blocks that hold text, in page order. Comments, raw elements and hidden elements hold none."""
+    """The blocks that hold text, in page order. Comments and raw elements hold none."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...], bool]] = []
+    stack: list[tuple[str, tuple[str, ...]]] = []
+    places: dict[str, list[int]] = defaultdict(list)  # of the open elements of a name
+    blocks: list[int] = []
+    borders: list[int] = []
     parts: list[str] = []
-    linked, links = 0, 0
+    linked, place = 0, None
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, place
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
-            if text and not any(h for _, _, h in stack):
-                out.append(Block(text, tuple(n for n, _, _ in stack if n in BLOCK or n == "a"), tuple(dict.fromkeys(w for _, ws, _ in stack for w in ws)), min(1.0, linked / max(1, len(text)))))
+            if text:
+                if place is None:
+                    path = [n for n, _ in stack if n in BLOCK or n == "a"]
+                    place = (*dict.fromkeys(path), *path[-1:]), tuple(dict.fromkeys(w for _, ws in stack for w in ws))
+                out.append(Block(text, *place, min(1.0, linked / max(1, len(text)))))
             parts.clear()
         linked = 0
 
@@ -59,71 +117,64 @@ def blocks_of(source: str | None) -> list[Block]:
         nonlocal linked
         if text:
             parts.append(text)
-            if links:
+            if places["a"]:
                 linked += len(text.strip())
 
     def pop(to: int) -> None:
-        nonlocal links
-        links -= sum(n == "a" for n, _, _ in stack[to:])
-        del stack[to:]
+        nonlocal place
+        place = None
+        while len(stack) > to:
+            name, _ = stack.pop()
+            places[name].pop()
+            for some in (blocks, borders):
+                if some and some[-1] == len(stack):
+                    some.pop()
 
     source, at = source or "", 0
-    while True:
-        m = TAG.search(source, at)
-        if not m:
-            add(source[at:])
-            break
-        add(source[at : m.start()])
-        at = m.end()
-        name = (m[2] or m[5] or "").lower()
+    for start, end, closing, name, attributes in tags_of(source):
+        if start < at:  # within a raw element
+            continue
+        add(source[at:start])
+        at = end
         if not name:
-            if m[0].startswith("<![CDATA["):
-                add(html.escape(m[0][9:].removesuffix("]]>")))
+            if source.startswith("<![CDATA[", start):
+                add(html.escape(source[start + 9 : end].removesuffix("]]>")))
             continue
-        if m[1] or m[4]:
+        if closing:
             if name in BLOCK:
                 flush()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    pop(k)
-                    break
-                if stack[k][0] in BLOCK and name not in BLOCK:
-                    break
+            if places[name] and (name in BLOCK or not blocks or blocks[-1] < places[name][-1]):
+                pop(places[name][-1])
             continue
-        attributes = m[3] if m[2] else m[6]
         if name in RAW:
-            if not attributes.endswith("/") or name not in ("svg", "math"):
-                end = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(source, at)
-                at = end.end() if end else len(source)
+            if not attributes.endswith("/") or name != "svg":
+                found = _raw_end(name).search(source, at)
+                at = found.end() if found else len(source)
             if name not in ("script", "style", "template"):
                 add(" ")
             continue
         if name in BLOCK:
             flush()
-            closes = CLOSES.get(name, ())
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p":
-                    pop(k)
-                    break
-                if stack[k][0] in BLOCK:
-                    break
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in BORDER:
-                    break
-                if stack[k][0] in closes:
-                    pop(k)
+            if blocks and stack[blocks[-1]][0] == "p":
+                pop(blocks[-1])
+            border = borders[-1] if borders else -1
+            ended = [k for c in CLOSES.get(name, ()) for k in places[c][bisect.bisect(places[c], border) :][:1]]
+            if ended:
+                pop(min(ended))
         if name in VOID:
             add(" " if name in ("br", "img", "input") else "")
             continue
-        if attributes.endswith("/") and name not in BLOCK:
+        if attributes.endswith("/") and name not in BLOCK or len(stack) >= DEPTH:
             continue
-        words: tuple[str, ...] = ()
-        hidden = False
-        if attributes:
-            words = tuple(w for x in NAMES.findall(attributes) for w in re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", "".join(x)).lower()))
-            hidden = bool(HIDDEN.search(attributes))
-        stack.append((name, words, hidden))
-        links += name == "a"
+        words = tuple(w for x in NAMES.findall(attributes) for w in re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", "".join(x)).lower())) if attributes else ()
+        places[name].append(len(stack))
+        if name in BLOCK:
+            blocks.append(len(stack))
+        if name in BORDER:
+            borders.append(len(stack))
+        stack.append((name, words))
+        place = None
+    add(source[at:])
     flush()
     return out
 
@@ -284,7 +335,8 @@ def main_text(source: str | None, model: Crf) -> str:
 def extract(pages: DataFrame, model: Crf) -> DataFrame:
     """page_id, url, text, n_chars of every row of pages (page_id, url, html), from the whole html, row by row.
 
-    text is empty for null, empty or textless pages; null and repeated keys are kept as they are.
+    text is empty for null, empty or textless pages; null and repeated keys and rows are kept as they are, other
+    columns are not read, and an empty table gives no rows. A page's time grows in proportion to its length.
     """
     shared = pages.sparkSession.sparkContext.broadcast(model)
 
@@ -297,4 +349,5 @@ def extract(pages: DataFrame, model: Crf) -> DataFrame:
 
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by the field trained on labelled_pages(); null pages have the empty text."""
     return extract(table(spark, sf_dir, "pages"), default_model())
