@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import base64
+import bisect
 import functools
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -38,8 +40,9 @@ def find_secrets(text: str, vocabulary: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) by start, then kind as listed; ends are exclusive, both in code points.
 
     Base spans are those of assign, access and hex, leftmost and non-overlapping within each kind. A random span
-    is added where a run overlaps no base span, is no known digest or identifier and has fewer than
-    CHARS_PER_TOKEN characters a token.
+    is added where a run, without the signs at its ends, overlaps no base span, is no known digest or identifier and
+    has fewer than CHARS_PER_TOKEN characters a token. Spans of different kinds may overlap; those that begin at the
+    same place stand in the order of KINDS.
     """
     base = []
     if ":" in text or "=" in text:
@@ -51,11 +54,15 @@ def find_secrets(text: str, vocabulary: str) -> list[tuple[int, int, str]]:
         base += [(*m.span(), 2) for m in HEX.finditer(text)]
     out = list(base)
     if longest >= 20:
+        base.sort()
+        starts, ends = [s for s, _, _ in base], [0, *itertools.accumulate((e for _, e, _ in base), max)]
         for m in RUN.finditer(text):
             run = m[0].strip("=-_/+")
-            if len(run) >= 20 and not KNOWN.match(run) and not any(s < m.end() and m.start() < e for s, e, _ in base):
+            start = m.start() + m[0].find(run)
+            end = start + len(run)
+            if len(run) >= 20 and not KNOWN.match(run) and ends[bisect.bisect_left(starts, end)] <= start:
                 if len(run) < CHARS_PER_TOKEN * len(_encoding(vocabulary).encode_ordinary(run)):
-                    out.append((*m.span(), 3))
+                    out.append((start, end, 3))
     return [(s, e, KINDS[k]) for s, e, k in sorted(out, key=lambda x: (x[0], x[2]))]
 
 
@@ -66,7 +73,8 @@ def spans_text(spans: list[tuple[int, int, str]]) -> str:
 def scan(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id and secrets, an array of (start, end, kind), of every whole text of docs (doc_id, text).
 
-    Null and empty texts have no secrets; null and repeated doc_ids are kept as they are.
+    Null and empty texts have no secrets; null and repeated doc_ids and rows are kept as they are, other columns are
+    not read, and an empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,6 +112,7 @@ def redacted(docs: DataFrame, vocabulary: str) -> DataFrame:
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts, digest of the base spans and all spans; a row per row, null texts have none."""
     import public_tokenizers
 
     found = scan(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
