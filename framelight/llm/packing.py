@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -26,17 +27,23 @@ PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, seque
 
 
 #: Words whose ids a worker remembers, twice over; it keeps them from task to task.
-REMEMBERED = 400_000
+REMEMBERED = 120_000
 #: Signs that end words: they are tokenized apart from the letter or digit before them.
 TAIL = ".,;:!?*&#%$|"
 
 
+@functools.lru_cache(4096)
+def _stays_a_letter(sign: str) -> bool:
+    """Whether a letter is only letters after the tokenizer's NFC and lower-casing; a few become letter and mark."""
+    return sign.isalpha() and unicodedata.normalize("NFC", sign).lower().isalpha()
+
+
 class WordTokenizer:
     """A text's ids as little-endian unsigned 32-bit numbers, without the closing 0, put together word by word.
 
     The tokenizer drops white space and splits letters, digits and signs apart, so what stands between spaces,
-    tabs and line ends is tokenized by itself, and a word apart from the signs at its end. It lower-cases,
-    so texts are lower-cased before the look-up, where both agree for certain: in Latin-1 without the mark of
+    tabs and line ends is tokenized by itself, and a word apart from the signs at its end if it ends in a letter that
+    gains no mark (a mark belongs to the signs after it). It lower-cases, so texts are lower-cased before the look-up, where both agree for certain: in Latin-1 without the mark of
     special tokens.
     """
 
@@ -52,7 +59,7 @@ class WordTokenizer:
 
     def _word(self, word: str) -> bytes:
         core = word.rstrip(TAIL)
-        if core and core != word and core[-1].isalpha():
+        if core and core != word and _stays_a_letter(core[-1]):
             return self.parts[core] + self.parts[word[len(core) :]]
         return self.parts[word]
 
@@ -214,7 +221,7 @@ def _slots(configs: list[tuple[dict[int, int], int]], capacity: int) -> dict[str
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """The pieces of all rows of docs with sequence_id and offset.
 
-    Every document's ids end with 0; only longer ones than `capacity` are cut. To the driver goes the histogram
+    Every document's ids end with 0; only longer ones than `capacity` are cut. Rows that are alike are packed each. To the driver goes the histogram
     of lengths (`capacity` rows at most); back goes the plan, a row for each configuration and length in it.
     Null or empty texts are one piece of length 1; rows with a null or repeated doc_id are packed like others.
     """
@@ -246,6 +253,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Data
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens; null and empty texts are the closing 0 alone."""
     import public_tokenizers
 
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

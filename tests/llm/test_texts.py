@@ -160,3 +160,35 @@ def test_toxicity(spark):
     assert toxicity.spaced("an i d i o t here".split()) == ["idiot"]
     none = toxicity.fit(spark.read.parquet(f"{SF}/documents.parquet"), labels.limit(0))
     assert [r.score for r in toxicity.score(docs(spark, [None, "x"]), none).collect()] == [pytest.approx(toxicity.ToxicityModel(marks).score(np.zeros((0, 2))))] * 2
+
+
+def test_packing_ids_after_every_letter():
+    """A word is put together from its core and the signs after it for every letter that may end the core."""
+    path = P.path("word_bpe_49k.json")
+    own, t = packing.WordTokenizer(path), Tokenizer.from_file(path)
+    # Of the large scripts without case or marks a part will do.
+    letters = [chr(c) for c in range(0x110000) if chr(c).isalpha() and not (0x3400 <= c < 0xA000 or 0xAC00 <= c < 0xD7A4 or c >= 0x17000) or 0xF900 <= c < 0xFB50]
+    assert {"\u0130", "\u0958", "\u09dc"} <= set(letters) and len(letters) > 9_000
+    for tail in (".", "),"):
+        texts = [f"a{x}{tail}" for x in letters]
+        for x, e in zip(texts, t.encode_batch(texts, add_special_tokens=False)):
+            assert own(x) == np.array(e.ids, "<u4").tobytes(), x
+
+
+def test_packing_program_places_most_pieces(spark):
+    path = P.path("word_bpe_49k.json")
+    lengths = [r.length for r in packing.pieces_of(spark.read.parquet(f"{SF}/documents.parquet"), path).collect()]
+    histogram = {n: lengths.count(n) for n in set(lengths)}
+    own = [(c, n) for c, n in packing.program(histogram) if packing._gap(c, 2048) <= packing.NEAR * 2048 and set(c) != {2048}]
+    short = sum(n for x, n in histogram.items() if x < 2048)
+    assert sum(times * sum(c.values()) for c, times in own) >= 0.8 * short
+    sequences = sum(times for _, times in packing.configurations(histogram))
+    assert sequences <= 1.01 * -(-sum(lengths) // 2048)
+
+
+def test_packing_of_repeated_and_null_ids(spark):
+    rows = [(1, "a b c", 5), (1, "a b c", 5), (1, "d", 6), (None, "e f", 7), (None, None, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, length int")
+    got = packing.pack(docs, P.path("word_bpe_49k.json")).collect()
+    assert sorted(((r.doc_id, r.length) for r in got), key=repr) == sorted([(1, 4), (1, 4), (1, 2), (None, 3), (None, 1)], key=repr)
+    assert sorted(r.offset for r in got)[0] == 0 and sum(r.length for r in got) == 14 and len({r.sequence_id for r in got}) == 1
