@@ -3,31 +3,39 @@
 from __future__ import annotations
 
 import math
-import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import regex
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelight.llm.common import bounded_sample, held_out, table
+from framelight.llm.common import bounded_sample, cut, held_out, table, uncut
 
-#: Labelled documents to learn from, words kept for each language, and the longest n-gram of the backoff.
-SAMPLE_ROWS, WORDS_PER_LANGUAGE, LONGEST_GRAM = 20_000, 20_000, 4
+#: Labelled documents to learn from, the longest n-gram of the backoff, and the weight from which an n-gram is known.
+SAMPLE_ROWS, LONGEST_GRAM, LEAST_WEIGHT = 20_000, 4, 3.0
 #: Log probability lost with each step down to shorter n-grams.
 BACKOFF = math.log(0.4)
 UNDETERMINED = "und"
-WORD = re.compile(r"[^\W\d_]+")
+#: A letter and the letters and marks after it, in fit and prediction; texts of ASCII only need no more than A to Z.
+WORD, PLAIN_WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*"), regex.compile(r"[A-Za-z]+")
 #: Documents scored together, and words that a worker remembers before it forgets them.
-CHUNK, REMEMBERED = 256, 500_000
+CHUNK, REMEMBERED = 256, 150_000
 #: Stand for the begin and the end of a word in n-grams.
 BEGIN, END = "^", "$"
 
 
+def words_of(text: str | None) -> list[str]:
+    """The words of a text in lower case."""
+    if not text:
+        return []
+    return [w.lower() for w in WORD.findall(text)] if not text.isascii() else PLAIN_WORD.findall(text.lower())
+
+
 def gram_codes(points: np.ndarray, size: int) -> np.ndarray:
     """A 64-bit number for each `size` neighbouring code points."""
     out = np.zeros(max(0, len(points) - size + 1), np.uint64)
@@ -88,7 +96,7 @@ class Identifier:
             yield from ((UNDETERMINED, 0.0) for _ in texts)
             return
         for at in range(0, len(texts), CHUNK):
-            lists = [WORD.findall(x.lower()) if x else [] for x in texts[at : at + CHUNK]]
+            lists = [words_of(x) for x in texts[at : at + CHUNK]]
             if len(self.known) > REMEMBERED:
                 self.known, self.scores = {}, self.scores[:0]
             new = list({w for words in lists for w in words}.difference(self.known))
@@ -109,53 +117,71 @@ class Identifier:
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
     """Learn from docs (doc_id, text, lang) with text and lang, a bounded sample of at most about `sample_rows` rows.
 
-    Word counts are summed by Spark; to the driver come the WORDS_PER_LANGUAGE most frequent words of each
-    language. Documents that held_out() marks are never read. Equal counts are ordered by the word.
+    Spark counts all words of the sample and the n-grams of all its distinct words; to the driver come the words
+    seen twice or more in a language and the n-grams of LEAST_WEIGHT or more. Documents that held_out() marks are
+    never read.
     """
     known = docs.where("text is not null and lang is not null").where(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang")
     known = bounded_sample(known, F.col("doc_id"), sample_rows)
-    word = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1)).alias("word")
-    counted = known.select("lang", word).groupBy("lang", "word").count()
-    top = counted.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))).where(F.col("rank") <= WORDS_PER_LANGUAGE)
-    counts: dict[str, dict[str, int]] = defaultdict(dict)
-    for lang, text, n in top.select("lang", "word", "count").collect():
-        counts[lang][text] = n
-    return build(counts)
-
-
-def build(counts: dict[str, dict[str, int]]) -> LanguageModel:
-    """The model of the word counts of each language; words seen once only feed the n-grams."""
-    languages = sorted(counts)
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: dict[tuple[str, str], int] = defaultdict(int)
+            for lang, text in zip(batch.column(1).to_pylist(), batch.column(0), strict=True):
+                for word in words_of(text.as_py()):
+                    counts[lang, word] += 1
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()), pa.array(counts.values(), pa.int64())], names=["lang", "word", "n"])
+
+    counted = known.select("text", "lang").mapInArrow(words, "lang string, word string, n long")
+    counted = cut(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    padded = F.concat(F.lit(BEGIN), F.col("word"), F.lit(END))
+    grams = counted.select("lang", padded.alias("p"), F.log1p(F.col("n") - 1).alias("w"), F.explode(F.sequence(F.lit(1), F.lit(LONGEST_GRAM))).alias("size"))
+    grams = grams.where(F.length("p") >= F.col("size")).select("lang", "w", F.explode(F.transform(F.sequence(F.lit(1), F.length("p") - F.col("size") + 1), lambda i: F.col("p").substr(i, F.col("size")))).alias("gram"))
+    grams = grams.groupBy("gram", "lang").agg(F.sum(F.col("w") + 1).alias("w"))
+    grams = grams.groupBy("gram").agg(F.collect_list(F.struct("lang", "w")).alias("by"), F.sum("w").alias("total")).where(F.col("total") >= LEAST_WEIGHT)
+    languages = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
+    often = counted.where("n > 1").collect()
+    model = build(languages, [(r["word"], r["lang"], float(r["n"])) for r in often], [(r["gram"], x["lang"], x["w"]) for r in grams.select("gram", "by").collect() for x in r["by"]])
+    uncut(counted)
+    return model
+
+
+def _rows(entries: list[tuple[str, str, float]], languages: list[str]) -> dict[str, np.ndarray]:
+    out: dict[str, np.ndarray] = {}
+    place = {lang: j for j, lang in enumerate(languages)}
+    for key, lang, n in sorted(entries):
+        if key not in out:
+            out[key] = np.zeros(len(languages))
+        out[key][place[lang]] += n
+    return out
+
+
+def build(languages: list[str], words: list[tuple[str, str, float]], grams: list[tuple[str, str, float]]) -> LanguageModel:
+    """The model of (word, language, count) and (n-gram, language, weight); an n-gram weighs for each distinct word
+    that holds it, 1 + log of the word's count."""
     k = len(languages)
-    words, grams = defaultdict(lambda: np.zeros(k)), defaultdict(lambda: np.zeros(k))
-    for j, lang in enumerate(languages):
-        for word, n in counts[lang].items():
-            if n > 1:
-                words[word][j] += n
-            padded, weight = f"{BEGIN}{word}{END}", 1 + math.log(n)
-            for size in range(1, LONGEST_GRAM + 1):
-                for at in range(len(padded) - size + 1):
-                    grams[padded[at : at + size]][j] += weight
-    seen = np.sum(list(words.values()), axis=0) + 1 if words else np.ones(k)
-    table = [np.log((v + 0.01) / seen) for v in words.values()]
+    counts, weights = _rows(words, languages), _rows(grams, languages)
+    seen = np.sum(list(counts.values()), axis=0) + 1 if counts else np.ones(k)
+    table = [np.log((v + 0.01) / seen) for v in counts.values()]
     codes, rows = [], []
     for size in range(1, LONGEST_GRAM + 1):
-        own = {g: v for g, v in grams.items() if len(g) == size and v.sum() >= 3}
+        own = {g: v for g, v in weights.items() if len(g) == size}
         total = np.sum(list(own.values()), axis=0) + 50 if own else np.ones(k)
-        points = np.frombuffer("".join(own).encode("utf-32-le"), "<u4")
+        points = np.frombuffer("".join(own).encode("utf-32-le", "surrogatepass"), "<u4")
         code = gram_codes(points, size)[::size] if own else np.empty(0, np.uint64)
         order = np.argsort(code, kind="stable")
         codes.append(code[order])
         rows.append(len(table) + order)
         table += [np.log((v + 0.5) / total) for v in own.values()]
-    return LanguageModel(languages, {w: i for i, w in enumerate(words)}, codes, rows, np.array(table).reshape(len(table), k))
+    return LanguageModel(languages, {w: i for i, w in enumerate(counts)}, codes, rows, np.array(table).reshape(len(table), k))
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """docs with lang_pred and score, row by row on whole texts; reads no column but text.
 
     Null texts and texts without a letter get UNDETERMINED and score 0; so does any text if nothing was learned.
-    Columns of docs named lang_pred or score are replaced.
+    Columns of docs named lang_pred or score are replaced; of equal languages the first by name is said. Repeated rows
+    and null keys stay as they are, and an empty table gives no rows.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
@@ -173,5 +199,6 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by a model of the rows that aren't held out; null and letterless texts are und."""
     docs = table(spark, sf_dir, "documents")
     return identify(docs.select("doc_id", "text"), fit(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

@@ -8,7 +8,7 @@ import public_tokenizers as P
 import pytest
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from framelight.llm import html_text, language, packing, secret_scan, tokens, toxicity
+from framelight.llm import html_text, packing, secret_scan, tokens, toxicity
 from framelight.llm.components import connected_components
 from framelight.llm.dedup import deduplicated, near_duplicates
 
@@ -141,15 +141,6 @@ def test_html():
     assert [html_text.main_text(x, model) for x in (None, "", "<p", "<!--")] [0:2] == ["", ""]
 
 
-def test_language(spark):
-    table = spark.read.parquet(f"{SF}/documents.parquet")
-    model = language.fit(table)
-    said = language.op8_language_id(spark, SF).join(table.select("doc_id", "lang"), "doc_id").where("held_out").collect()
-    assert np.mean([r.lang == r.lang_pred for r in said]) > 0.98
-    assert [x[0] for x in language.Identifier(model)([None, "", "12 %%"])] == ["und"] * 3
-    assert list(language.Identifier(language.build({}))(["abc"])) == [("und", 0.0)]
-
-
 def test_toxicity(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     got = toxicity.op10_toxicity(spark, SF).join(labels, "doc_id").where("held_out").collect()
