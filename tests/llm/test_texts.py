@@ -8,7 +8,7 @@ import public_tokenizers as P
 import pytest
 from tokenizers import Tokenizer, models, pre_tokenizers
 
-from framelight.llm import html_text, packing, secret_scan, tokens, toxicity
+from framelight.llm import html_text, packing, secret_scan, tokens
 from framelight.llm.components import connected_components
 from framelight.llm.dedup import deduplicated, near_duplicates
 
@@ -99,16 +99,39 @@ def test_packing_program_covers_every_length(monkeypatch):
     assert sum(times for _, times in packing.configurations(drawn["wide"])) <= wide
 
 
-def test_token_counts():
-    path = P.path("piece_bpe_32k.model")
+@pytest.fixture(scope="module")
+def unigram():
+    """Another library's tokenizer of the same pieces and scores."""
     import sentencepiece
 
-    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    sp = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
     t = Tokenizer(models.Unigram([(sp.id_to_piece(i), sp.get_score(i)) for i in range(sp.get_piece_size())], unk_id=0, byte_fallback=True))
     t.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always")
-    c = tokens.UnigramCounter([(sp.id_to_piece(i), sp.get_score(i)) for i in range(sp.get_piece_size())])
-    for x in [*ODD, "The quick  brown\nfox\n\n jumps."]:
-        assert c.count(x or "") == len(t.encode(x or "", add_special_tokens=False).ids), x
+    return t
+
+
+def test_token_counts_of_whole_table(spark, unigram):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    want = {i: len(e.ids) for i, e in zip(texts, unigram.encode_batch(list(texts.values()), add_special_tokens=False))}
+    assert {r.doc_id: r.n_tokens for r in tokens.op4_token_counts(spark, SF).collect()} == want
+
+
+def test_token_counts_of_odd_rows(spark, unigram):
+    texts = [*ODD, "The quick  brown\nfox\n\n jumps.", "The quick  brown\nfox\n\n jumps.", "\u0301\u200d👩🏽‍🚀", "<0x41><unk><s>", "x" * 5_000]
+    rows = [(i // 2 if i else None, t, 7) for i, t in enumerate(texts)]
+    got = tokens.count_tokens(spark.createDataFrame(rows, "doc_id long, text string, n_tokens int"), P.path("piece_bpe_32k.model")).collect()
+    want = [(i, len(unigram.encode(t or "", add_special_tokens=False).ids)) for i, t, _ in rows]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    assert tokens.count_tokens(docs(spark, ["a"]).limit(0), P.path("piece_bpe_32k.model")).count() == 0
+
+
+def test_tied_scores_as_the_tokenizer_breaks_them():
+    pieces = [("<unk>", 0.0), ("▁", -1.0), ("a", -2.0), ("b", -2.0), ("ab", -4.0), ("▁a", -3.0), ("▁ab", -5.0), ("ba", -4.0), ("aba", -6.0)]
+    t = Tokenizer(models.Unigram(pieces, unk_id=0, byte_fallback=False))
+    t.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always")
+    c = tokens.UnigramCounter(pieces)
+    for x in ("a", "ab", "aba", "abab", "ba ab", "bbaabba", "axxb", "aba" * 30):
+        assert c.count(x) == len(t.encode(x, add_special_tokens=False).ids), x
 
 
 def test_secrets(spark):
@@ -141,18 +164,6 @@ def test_html():
     assert [html_text.main_text(x, model) for x in (None, "", "<p", "<!--")] [0:2] == ["", ""]
 
 
-def test_toxicity(spark):
-    labels = spark.read.parquet(f"{SF}/labels.parquet")
-    got = toxicity.op10_toxicity(spark, SF).join(labels, "doc_id").where("held_out").collect()
-    hit = [r for r in got if r.predicted == 1]
-    assert sum(r.toxic for r in hit) >= 0.6 * sum(r.toxic for r in got) and sum(r.toxic for r in hit) >= 0.7 * len(hit)
-    marks = toxicity.Landmarks.of(["idiot", "stupid"])
-    assert set(marks.like(["i.d.i.o.t", "idi*ot", "stuupid", "table"])) == {"i.d.i.o.t", "idi*ot", "stuupid"}
-    assert toxicity.spaced("an i d i o t here".split()) == ["idiot"]
-    none = toxicity.fit(spark.read.parquet(f"{SF}/documents.parquet"), labels.limit(0))
-    assert [r.score for r in toxicity.score(docs(spark, [None, "x"]), none).collect()] == [pytest.approx(toxicity.ToxicityModel(marks).score(np.zeros((0, 2))))] * 2
-
-
 def test_packing_ids_after_every_letter():
     """A word is put together from its core and the signs after it for every letter that may end the core."""
     path = P.path("word_bpe_49k.json")
