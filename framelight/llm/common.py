@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Entries that a worker's word cache holds before it is emptied. Bounds memory only; results don't depend on it.
-CACHE = 200_000
+CACHE = 100_000
 
 
 class WordCache(dict):
@@ -35,9 +36,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a temporary one where that is unset, as in tests."""
+    """The folder that all executors share: spark.checkpoint.dir. Where that is unset, a temporary one, on one machine only."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='framelight-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -84,10 +87,10 @@ MAX_HUBS = 10_000
 def join_skewed(rows: DataFrame, side: DataFrame, key: str, n_rows: int) -> DataFrame:
     """Inner join of rows with side, which has one row per key and in `degree` how many of rows have the key.
 
-    Keys that hold MAX_HUBS-th of all rows or more are joined by broadcast, so that no task collects their rows;
-    there are MAX_HUBS of them at most. The others go by shuffle.
+    Keys that hold a MAX_HUBS-th of all rows or more, and 1,000 at least, are joined by broadcast, so that no task
+    collects their rows; there are MAX_HUBS of them at most. The others go by shuffle.
     """
-    from_degree = max(5_000, n_rows // MAX_HUBS + 1)
+    from_degree = max(1_000, n_rows // MAX_HUBS + 1)
     names = [c for c in side.columns if c not in (key, "degree")]
     hubs = side.where(F.col("degree") >= from_degree).select(key, F.struct(*names).alias("hub_"))
     marked = rows.join(F.broadcast(hubs), key, "left")

@@ -86,6 +86,12 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, SLICE)
 
 
+def _name(shingles: np.ndarray) -> tuple[int, int]:
+    """128 bits that name a set."""
+    name = np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), np.int64)
+    return int(name[0]), int(name[1])
+
+
 def signatures(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, n_shingles, set1, set2 (128 bits that name the set), keys (of the bands), minima (16 bits of each)."""
 
@@ -96,9 +102,9 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
             for text in batch.column(1):
                 found = shingle_set(text.as_py(), width, hashes)
                 n.append(len(found))
-                name = np.frombuffer(xxhash.xxh3_128_digest(found.tobytes()), np.int64)
-                one.append(int(name[0]))
-                two.append(int(name[1]))
+                name = _name(found)
+                one.append(name[0])
+                two.append(name[1])
                 m = minima(found) if len(found) else None
                 keys.append(None if m is None else band_keys(m))
                 low.append(None if m is None else _mixed(m).astype(np.uint16).tobytes())
@@ -145,11 +151,11 @@ def _plausible(edges: DataFrame, marks: DataFrame) -> DataFrame:
     return met.where(F.pandas_udf(_agree, "boolean")("minima", "middle")).select("center", "doc_id")
 
 
-def _confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The edges whose full sets have a similarity of `percent` or more. sets: doc_id, shingles."""
+def _confirmed(edges: DataFrame, marks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The edges whose full sets have a similarity of `percent` or more. sets: set1, set2, shingles."""
     rows, centers = _stars(edges, SETS_PER_TASK)
     tickets = rows.select("doc_id", "center", "part", F.lit(False).alias("middle")).unionByName(centers.select(F.col("center").alias("doc_id"), "center", "part", F.lit(True).alias("middle")))
-    met = sets.join(tickets, "doc_id")
+    met = sets.join(tickets.join(marks.select("doc_id", "set1", "set2"), "doc_id"), ["set1", "set2"])
 
     def check(pdf: pd.DataFrame) -> pd.DataFrame:
         got = [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
@@ -180,7 +186,7 @@ def _rest(members: DataFrame, marks: DataFrame, sets: DataFrame, components: Dat
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("key", "doc_id", "component", "own", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"))
-    met = dealt.join(marks.select("doc_id", "minima"), "doc_id").join(sets, "doc_id")
+    met = dealt.join(marks.select("doc_id", "minima", "set1", "set2"), "doc_id").join(sets, ["set1", "set2"])
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("doc_id", kind="stable")
@@ -210,71 +216,72 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     Texts link if their sets of `width`-word shingles have a Jaccard similarity of percent / 100 or more;
     component_id is the least doc_id that links reach, kept tells whether it is the row's own. Texts with equal
-    sets form a class first, and classes compare by their least doc_id. Bands propose pairs: every text with the
+    sets form a class first, and one text of each class is compared. Bands propose pairs: every class with the
     least one of its bucket, and after these are confirmed, whatever bucket partners are in another component
     still; so no proposed link between components is lost and no bucket makes rows of all its pairs. Rows
-    that share a doc_id are one document. Null or blank texts have no shingles and link with nothing; a null
-    doc_id takes no part, component_id is null and kept false.
+    that share a doc_id are one document, which ties the classes of its texts. Null or blank texts have no shingles
+    and link with nothing, whatever else their doc_id holds; a null doc_id takes no part, component_id is null and
+    kept false.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     marked = cut(signatures(docs, width))
     usable = marked.where("doc_id is not null and n_shingles > 0")
-    classes = usable.groupBy("set1", "set2").agg(F.min("doc_id").alias("first"))
-    copies = usable.select("set1", "set2", "doc_id").distinct()
-    reps = usable.join(classes.withColumnRenamed("first", "doc_id"), ["set1", "set2", "doc_id"]).select("doc_id", "n_shingles", "keys", "minima")
-    reps = cut(reps)
-    spread = reps.select(F.explode("keys").alias("key"), "doc_id")
+    same = [F.any_value(c).alias(c) for c in ("n_shingles", "keys", "minima")]
+    classes = usable.groupBy("set1", "set2").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"), *same)
+    classes = cut(classes.withColumn("class", F.monotonically_increasing_id()))  # being written fixes these numbers
+    # From here on doc_id is the number of a class.
+    spread = classes.select(F.explode("keys").alias("key"), F.col("class").alias("doc_id"))
     buckets = cut(spread.groupBy("key").agg(F.min("doc_id").alias("center"), F.count("*").alias("degree")).where("degree > 1"))
     met = buckets.agg(F.coalesce(F.sum("degree"), F.lit(0))).first()[0]
     members = cut(join_skewed(spread, buckets, "key", met))
     edges = members.where("center <> doc_id").select("center", "doc_id").distinct()
-    marks = reps.select("doc_id", "n_shingles", "minima").join(members.select("doc_id").distinct(), "doc_id", "left_semi")
-    marks = cut(marks.dropDuplicates(["doc_id"]))
-
     hit = members.select("doc_id").distinct()
+    marks = cut(classes.select(F.col("class").alias("doc_id"), "first", "set1", "set2", "n_shingles", "minima").join(hit, "doc_id", "left_semi"))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for batch in _slices(batches):
-            got = [shingle_set(x.as_py(), width, hashes).tobytes() for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.binary())], names=["doc_id", "shingles"])
-
-    sets = cut(docs.join(hit, "doc_id", "left_semi").mapInArrow(sets_of, "doc_id long, shingles binary"))
-
-    found = cut(_confirmed(cut(_plausible(edges, marks.select("doc_id", "minima"))), sets, percent))
-    components = cut(connected_components(found.select(F.col("center").alias("u"), F.col("doc_id").alias("v"))))
+            got = [shingle_set(x.as_py(), width, hashes) for x in batch.column(1)]
+            names = np.array([_name(x) for x in got], np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(names[:, 0]), pa.array(names[:, 1]), pa.array([x.tobytes() for x in got], pa.binary())], names=["set1", "set2", "shingles"])
+
+    texts = docs.join(marks.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sets = cut(texts.mapInArrow(sets_of, "set1 long, set2 long, shingles binary"))
+
+    found = cut(_confirmed(cut(_plausible(edges, marks.select("doc_id", "minima"))), marks, sets, percent))
+    names = F.struct("set1", "set2")
+    lone = usable.groupBy("doc_id").agg(F.min(names).alias("one"), F.max(names).alias("two")).where("one <> two").select("doc_id")
+    tied = usable.join(lone, "doc_id").select("doc_id", "set1", "set2").join(classes.select("set1", "set2", "class"), ["set1", "set2"])
+    tied = tied.groupBy("doc_id").agg(F.min("class").alias("u"), F.collect_set("class").alias("all")).select("u", F.explode("all").alias("v"))
+    components = cut(connected_components(found.select(F.col("center").alias("u"), F.col("doc_id").alias("v")).unionByName(tied)))
     rest = cut(_rest(members.select("key", "doc_id").distinct(), marks, sets, components, percent))
     if not rest.isEmpty():
-        # The links so far count as one from each text to its component.
+        # The links so far count as one from each class to its component.
         found = components.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
         ends = rest.select(F.col("center").alias("u"), F.col("doc_id").alias("v"))
         components = cut(connected_components(found.unionByName(ends)))
-    for table_ in (sets, reps, buckets, members):
+    for table_ in (sets, buckets, members):
         uncut(table_)
-    joined = copies.join(classes, ["set1", "set2"])
-    # A doc_id with several texts joins their classes.
-    roots = joined.select("doc_id", "first").join(components.select(F.col("node").alias("first"), "component"), "first", "left")
-    roots = roots.select("doc_id", F.coalesce("component", "first").alias("root"))
-    least = roots.groupBy("doc_id").agg(F.min("root").alias("least"))
-    several = cut(roots.join(least, "doc_id").where("root <> least").select(F.col("root").alias("u"), F.col("least").alias("v")))
-    if not several.isEmpty():
-        merged = connected_components(several)
-        roots = roots.join(merged.select(F.col("node").alias("root"), "component"), "root", "left").select("doc_id", F.coalesce("component", "root").alias("root"))
-    roots = roots.groupBy("doc_id").agg(F.min("root").alias("root"))
-    out = marked.select("doc_id", "n_shingles").join(roots, "doc_id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"), F.coalesce(F.col("doc_id") == F.coalesce("root", "doc_id"), F.lit(False)).alias("kept"))
+    placed = cut(classes.select("set1", "set2", "first", "copies", F.col("class").alias("node")).join(components, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    roots = placed.groupBy("component").agg(F.min("first").alias("root"), F.count("*").alias("degree"))
+    rooted = join_skewed(placed, roots, "component", placed.count()).select(names.alias("key"), "root", F.col("copies").alias("degree"))
+    known = join_skewed(usable.select("doc_id", "n_shingles", names.alias("key")), rooted, "key", usable.count())
+    alone = marked.where("doc_id is null or n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("root"))
+    out = known.select("doc_id", "n_shingles", "root").unionByName(alone)
+    return out.select("doc_id", "n_shingles", F.col("root").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("root"), F.lit(False)).alias("kept"))
 
 
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs of which one document of each component stays: the one with the least doc_id.
 
-    Rows without a doc_id and texts without words stay as they are.
+    Rows without a doc_id stay as they are, and so do texts without words unless other texts of their doc_id go.
     """
     gone = near_duplicates(docs.select("doc_id", "text"), width, percent).where("doc_id is not null and not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies among all documents by four-word shingles; texts without words link with nothing."""
     return near_duplicates(table(spark, sf_dir, "documents"), width=4)
 
 

@@ -125,6 +125,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that the mix takes of every document; a row per row, null texts have size 0 and null sources are one."""
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 

@@ -37,7 +37,7 @@ class UnigramCounter:
         self.unknown = min((s for _, s in pieces), default=0.0) - UNKNOWN_PENALTY
         self.bytes = [f"<0x{b:02X}>" in self.ids for b in range(256)]
         self.line_ends_apart = self.bytes[10] and not any("\n" in p for p in self.ids)
-        self.units = WordCache(lambda word: self.count_unit(SPACE + word), 300_000)
+        self.units = WordCache(lambda word: self.count_unit(SPACE + word), 150_000)
 
     def count_unit(self, unit: str) -> int:
         """Pieces of one SPACE-led word."""
@@ -105,7 +105,8 @@ def _counter(path: str) -> UnigramCounter:
 def count_tokens(docs: DataFrame, model_path: str) -> DataFrame:
     """doc_id and n_tokens of every whole text of docs (doc_id, text), row by row without a shuffle.
 
-    Null and empty texts have 0 tokens; null and repeated doc_ids are kept as they are.
+    Null and empty texts have 0 tokens; null and repeated doc_ids and rows are kept as they are; other columns are not
+    read, and an empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,6 +119,7 @@ def count_tokens(docs: DataFrame, model_path: str) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of pieces of every document; null and empty texts have none."""
     import public_tokenizers
 
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))

@@ -194,3 +194,28 @@ def test_packing_of_repeated_and_null_ids(spark):
     got = packing.pack(docs, P.path("word_bpe_49k.json")).collect()
     assert sorted(((r.doc_id, r.length) for r in got), key=repr) == sorted([(1, 4), (1, 4), (1, 2), (None, 3), (None, 1)], key=repr)
     assert sorted(r.offset for r in got)[0] == 0 and sum(r.length for r in got) == 14 and len({r.sequence_id for r in got}) == 1
+
+
+def test_near_duplicates_of_one_doc_id_with_several_texts(spark):
+    """Such a document ties what its texts link; rows alike, null keys and clashing columns."""
+    base = [" ".join(f"{k}w{i}" for i in range(60)) for k in "abcd"]
+    near = [b.replace("w30 ", "x ") for b in base]
+    rows = [(5, base[0]), (5, base[1]), (9, near[0]), (3, near[1]), (7, base[2]), (7, base[2]), (8, near[2]), (None, base[0]), (4, base[3]), (5, None), (11, "  ")]
+    table = spark.createDataFrame([(i, t, 1, "k", 2) for i, t in rows], "doc_id long, text string, n_shingles int, key string, class int")
+    got = {(r.doc_id, r.n_shingles > 0, r.component_id, r.kept) for r in near_duplicates(table, 4, 80).collect()}
+    assert got == {(5, True, 3, False), (9, True, 3, False), (3, True, 3, True), (7, True, 7, True), (8, True, 7, False), (None, True, None, False), (4, True, 4, True), (5, False, 5, True), (11, False, 11, True)}
+    kept = sorted(r.doc_id or 0 for r in deduplicated(table, 4, 80).collect())
+    assert kept == [0, 3, 4, 7, 7, 11]
+
+
+def test_recall_of_the_bands_at_the_threshold():
+    """Of pairs of similarity 0.80 to 0.85 all share a band."""
+    from framelight.llm import dedup
+
+    r, hits, n = np.random.default_rng(2), 0, 400
+    for k in range(n):
+        own = r.integers(0, 2**63, 400, dtype=np.uint64)
+        both = int(np.ceil(2 * 400 * s / (1 + s))) if (s := 0.80 + 0.05 * k / n) else 0
+        other = np.concatenate([own[:both], r.integers(0, 2**63, 400 - both, dtype=np.uint64)])
+        hits += bool((dedup.band_keys(dedup.minima(np.unique(own))) == dedup.band_keys(dedup.minima(np.unique(other)))).any())
+    assert hits == n
