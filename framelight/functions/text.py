@@ -95,3 +95,31 @@ def path_ids(path: Column) -> Column:
     """struct(scene_id, frame_number) of a file name that holds scene_N_frame_M, else nulls."""
     number = lambda k: F.regexp_extract(path, r"(?i)scene_(\d+)_frame_(\d+)", k).try_cast("int")
     return F.struct(number(1).alias("scene_id"), number(2).alias("frame_number"))
+
+
+def model_tokens(answer: Column) -> Column:
+    """The words that a picture model says: a JSON object's tokens or words, alone or within text, else runs of
+    letters, digits and hyphens; trimmed, without empty ones."""
+    whole = F.trim(F.coalesce(answer, F.lit("")))
+    schema = "struct<tokens: array<string>, words: array<string>>"
+    inner = F.regexp_extract(whole, r"(?s)(\{.*\})", 1)
+    read = lambda text: F.from_json(text, schema, {"mode": "PERMISSIVE"})
+    said = lambda x: F.when(F.size(x["tokens"]) > 0, x["tokens"]).when(F.size(x["words"]) > 0, x["words"])
+    is_object = F.get_json_object(F.when(inner != "", inner), "$").isNotNull()
+    plain = F.regexp_extract_all(whole, F.lit(r"([A-Za-z0-9]+(?:-[A-Za-z0-9]+)*)"), 1)
+    found = F.when(is_object, F.coalesce(said(read(inner)), F.array().cast("array<string>"))).otherwise(plain)
+    return F.filter(F.transform(found, lambda x: F.trim(x)), lambda x: x != "")
+
+
+def said_seconds(seconds: Column) -> Column:
+    """A duration for people: ms below a second, s below a minute, else m:ss or h:mm:ss."""
+    whole = F.bround(seconds).cast("long")
+    two = lambda x: F.lpad(x.cast("string"), 2, "0")
+    minutes, rest = F.floor(whole / 60), whole % 60
+    long = F.when(minutes < 60, F.concat_ws(":", minutes.cast("string"), two(rest))).otherwise(F.concat_ws(":", F.floor(minutes / 60).cast("string"), two(minutes % 60), two(rest)))
+    return F.when(seconds < 1, F.concat(F.bround(seconds * 1000).cast("long").cast("string"), F.lit(" ms"))).when(seconds < 60, F.concat(F.format_number(seconds, 2), F.lit(" s"))).otherwise(long)
+
+
+def padded_words(words: Column, unread: Column, needed: Column) -> Column:
+    """words, and UNK for each unread crop, one at least, where a reading was needed."""
+    return F.when(needed, F.concat(words, F.array_repeat(F.lit(UNKNOWN_TOKEN), F.greatest(unread, F.lit(1))))).otherwise(words)

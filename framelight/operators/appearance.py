@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from framelight.functions.colors import PALETTE, TOLERANCE
 from framelight.functions.text import normalized_signature
 
 
@@ -37,27 +38,37 @@ def status_summary(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.select(pairs).groupBy("x.column", "x.value").agg(F.count("*").alias("n"))
 
 
-def reconciled(scenes: DataFrame, least: int = 2) -> DataFrame:
+def reconciled(scenes: DataFrame, least: int = 2, tolerance: float = TOLERANCE) -> DataFrame:
     """video_id, scene_id, camera_id: a camera's scenes of other colours split off into cameras of their own.
 
-    scenes: video_id, scene_id, camera_id, color (null: not eligible), before (its modal cluster before merging).
-    Scenes group in order with the first group of their colour; the largest stays, the first of equals. Others
-    of `least` scenes or more go to the camera of their most common earlier cluster, else to a new one.
+    scenes: video_id, scene_id, camera_id, color (null: not eligible), before (its modal cluster before merging, null or
+    negative: none). In order each scene joins the first group of its camera with all of whose scenes its colour goes
+    together; the largest group stays, the first of equals. Of others with `least` scenes or more each scene goes to
+    the camera of its own earlier cluster; where none has one the group gets a new camera. Smaller groups stay.
     """
+    pairs = {(a, b) for a, x in PALETTE.items() for b, y in PALETTE.items() if sum((p - q) ** 2 for p, q in zip(x, y)) ** 0.5 < tolerance}
 
     def split(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("scene_id").reset_index(drop=True)
-        used = {int(c[4:]) for c in pdf["camera_id"].dropna() if c.startswith("cam_") and c[4:].isdigit()}
+        after = 1 + max((int(c[4:]) for c in pdf["camera_id"].dropna() if c.startswith("cam_") and c[4:].isdigit()), default=-1)
         camera = pdf["camera_id"].copy()
-        for _, part in pdf[pdf["color"].notna()].groupby("camera_id", sort=True):
-            groups = sorted((list(g.index) for _, g in part.groupby("color", sort=False)), key=lambda g: (-len(g), g[0]))
-            for g in groups[1:]:
-                if len(g) < least:
+        for _, part in pdf[pdf["color"].notna() & (pdf["color"] != "")].groupby("camera_id", sort=True):
+            groups: list[tuple[set, list[int]]] = []
+            for k, color in part["color"].items():
+                for colors, rows in groups:
+                    if all(c == color or (c, color) in pairs for c in colors):
+                        colors.add(color)
+                        rows.append(k)
+                        break
+                else:
+                    groups.append(({color}, [k]))
+            for rows in sorted((g for _, g in groups), key=len, reverse=True)[1:]:
+                if len(rows) < least:
                     continue
-                known = part.loc[g, "before"].dropna()
-                n = int(known.mode().iloc[0]) if len(known) and known.mode().iloc[0] >= 0 else max(used, default=-1) + 1
-                used.add(n)
-                camera.loc[g] = f"cam_{n}"
+                known = {k: int(pdf["before"][k]) for k in rows if pd.notna(pdf["before"][k]) and pdf["before"][k] >= 0}
+                for k in known or rows:
+                    camera[k] = f"cam_{known.get(k, after)}"
+                after += not known
         return pd.DataFrame({"video_id": pdf["video_id"], "scene_id": pdf["scene_id"], "camera_id": camera})
 
     types = {f.name: f.dataType.simpleString() for f in scenes.schema}

@@ -101,22 +101,31 @@ def with_fallback(rows: DataFrame, exact: DataFrame, on: list[str], coarse: Data
     return two.withColumn(column, F.coalesce("one_", "two_", F.lit(default))).drop("one_", "two_")
 
 
-def frame_payload(detections: DataFrame, associations: DataFrame) -> DataFrame:
+def frame_payload(detections: DataFrame, associations: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Detections of frames with their associations, then enriched associations with a box that no detection shows.
 
-    detections: scene_id, frame_number, det, text. associations: scene_id, frame_number, raw_text, ocr_raw_text,
-    mapped_complete_text, text_kind, mapping_confidence, enrich_applied, bbox. An association joins by its text,
-    else by its OCR text; complete ones, enriched ones and higher confidences come first.
+    detections: scene_id, frame_number, det, text; repeated rows stay, blank texts go. associations: scene_id,
+    frame_number, raw_text, ocr_raw_text, mapped_complete_text, text_kind, mapping_confidence, enrich_applied, bbox and
+    what `order` names. A detection takes an association of its text, else an enriched one whose OCR text it is;
+    complete ones, enriched ones and higher confidences come first, then `order`. An enriched association with a box is
+    added where the same record was not taken and its text is not shown in the frame; of equal texts the first.
     """
     keys = ["scene_id", "frame_number"]
-    d = detections.withColumn("key_", fold(F.col("text")))
-    by = lambda c, rank: associations.where(F.col(c).isNotNull()).withColumn("key_", fold(F.col(c))).withColumn("by_", F.lit(rank))
-    both = by("raw_text", 0).unionByName(by("ocr_raw_text", 1))
-    w = Window.partitionBy(*keys, "det").orderBy(F.col("by_").asc_nulls_last(), F.when(F.col("text_kind") == "complete", 0).otherwise(1), F.when(F.col("enrich_applied"), 0).otherwise(1), F.col("mapping_confidence").desc_nulls_last(), "mapped_complete_text")
-    shown = d.join(both.drop("bbox"), [*keys, "key_"], "left").withColumn("r_", F.row_number().over(w)).where("r_ = 1")
-    shown = shown.select(*keys, "det", "text", "mapped_complete_text", "text_kind", "mapping_confidence", "enrich_applied", F.lit(False).alias("added"))
-    rest = associations.where(F.col("enrich_applied") & F.col("bbox").isNotNull()).withColumn("key_", fold(F.col("raw_text")))
-    rest = rest.join(d.select(*keys, "key_").distinct(), [*keys, "key_"], "left_anti")
-    rest = rest.join(shown.where("mapped_complete_text is not null").select(*keys, "mapped_complete_text").distinct(), [*keys, "mapped_complete_text"], "left_anti")
-    rest = rest.select(*keys, F.lit(None).cast("bigint").alias("det"), F.col("raw_text").alias("text"), "mapped_complete_text", "text_kind", "mapping_confidence", "enrich_applied", F.lit(True).alias("added"))
-    return shown.unionByName(rest)
+    record = ["raw_text", "mapped_complete_text", "bbox", "enrich_applied", "ocr_raw_text"]
+    a = associations.withColumn("enrich_applied", F.coalesce("enrich_applied", F.lit(False))).where("raw_text is not null")
+    rank = F.struct(F.when(F.col("text_kind") == "complete", 0).otherwise(1), F.when(F.col("enrich_applied"), 0).otherwise(1), -F.coalesce("mapping_confidence", F.lit(0.0)), *(order or ["raw_text", "mapped_complete_text"]))
+    said = F.struct(*record, "text_kind", "mapping_confidence")
+    best = lambda rows, text, name: rows.groupBy(*keys, fold(F.col(text)).alias("key_")).agg(F.min_by(said, rank).alias(name))
+    d = detections.where(F.trim("text") != "").withColumn("key_", fold(F.trim("text")))
+    shown = d.join(best(a, "raw_text", "one_"), [*keys, "key_"], "left").join(best(a.where("enrich_applied and ocr_raw_text <> ''"), "ocr_raw_text", "two_"), [*keys, "key_"], "left")
+    shown = shown.withColumn("m_", F.coalesce("one_", "two_"))
+    taken = shown.where("m_ is not null").select(*keys, "m_").distinct()
+    # What an enriched record adds: not the record that was taken, not a text that is shown.
+    rest = a.where(F.col("enrich_applied") & F.col("bbox").isNotNull()).withColumn("key_", fold(F.col("raw_text"))).alias("r")
+    same = [F.col(f"r.{k}") == F.col(f"t.{k}") for k in keys] + [F.col(f"r.{c}").eqNullSafe(F.col(f"t.m_.{c}")) for c in record]
+    rest = rest.join(taken.alias("t"), same, "left_anti").join(d.select(*keys, "key_").distinct(), [*keys, "key_"], "left_anti")
+    first = F.struct(*(order or ["mapped_complete_text", "ocr_raw_text"]))
+    rest = rest.groupBy(*keys, "key_").agg(F.min_by(said, first).alias("m_"))
+    values = [F.col("m_.mapped_complete_text"), F.col("m_.text_kind"), F.col("m_.mapping_confidence"), F.col("m_.enrich_applied")]
+    out = shown.select(*keys, "det", "text", *values, F.lit(False).alias("added"))
+    return out.unionByName(rest.select(*keys, F.lit(None).cast(d.schema["det"].dataType).alias("det"), F.col("m_.raw_text").alias("text"), *values, F.lit(True).alias("added")))

@@ -77,12 +77,13 @@ def temporal_fill(spark, read):
 
 @query("""
 WITH e AS (SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
-n AS (SELECT a.event_id, b.event_type AS t, count(*) AS c, min(b.i) AS f FROM e a JOIN e b ON a.user_id = b.user_id AND b.i BETWEEN a.i - 2 AND a.i + 2 AND b.i <> a.i GROUP BY ALL),
+n AS (SELECT a.event_id, b.event_type AS t, count(*) AS c, min(b.i) AS f FROM e a JOIN e b ON a.user_id = b.user_id AND b.i BETWEEN a.i - 2 AND a.i + 2 AND b.i <> a.i WHERE a.event_type <> 'error' AND b.event_type <> 'error' GROUP BY ALL),
 p AS (SELECT event_id, t FROM n QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY c DESC, f) = 1)
-SELECT user_id, round(avg(CASE WHEN p.t = e.event_type THEN 1.0 ELSE 0.0 END), 6) AS coherence FROM e LEFT JOIN p USING (event_id) GROUP BY user_id""")
+SELECT user_id, round(coalesce(avg(CASE WHEN p.t = e.event_type THEN 1.0 WHEN p.t IS NOT NULL THEN 0.0 END), CASE WHEN count(*) = 1 THEN 1 ELSE 0 END), 6)::DOUBLE AS coherence FROM e LEFT JOIN p USING (event_id) GROUP BY user_id""")
 def temporal_coherence(spark, read):
-    c = runs.coherence(events_of(read), ["user_id"], ["ts", "event_id"], "event_type", 2)
-    return c.groupBy("user_id").agg(six(F.avg(F.col("agrees").cast("double"))).alias("coherence"))
+    c = runs.coherence(events_of(read), ["user_id"], ["ts", "event_id"], "event_type", 2, ["error"])
+    none = F.when(F.count("*") == 1, 1.0).otherwise(0.0)
+    return c.groupBy("user_id").agg(six(F.coalesce(F.avg(F.col("agrees").cast("double")), none)).alias("coherence"))
 
 
 @query("""
