@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framelight.functions.text import UNKNOWN_TOKEN, fold, plausible, truthy
+from framelight.sources.tables import kept
 
 #: Gates of a partial match: letters in common, share of the token, share of the text from its start and elsewhere.
 LEAST_BLOCK, TOKEN_SHARE, START_SHARE, INNER_SHARE = 3, 0.5, 0.5, 0.6
+#: Places in a token or text are below this.
+LONGEST = (1 << 21) - 1
 
 
 def partial_matches(tokens: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -19,8 +22,10 @@ def partial_matches(tokens: DataFrame, catalog: DataFrame) -> DataFrame:
     texts, by an equi-join on the substring: no token meets the whole catalog. The longest block counts, of equals
     the one that ends first in the token, at its first place in the text.
     """
-    t = tokens.select("token", fold(F.col("token")).alias("t_")).where(F.length("t_") >= LEAST_BLOCK)
-    c = catalog.select("complete_text", "ord", fold(F.col("complete_text")).alias("c_")).where(F.length("c_") >= LEAST_BLOCK)
+    # A row becomes hundreds here, so few bytes are much work: small partitions must not be put together.
+    n = max(int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions")), tokens.sparkSession.sparkContext.defaultParallelism)
+    t = tokens.repartition(n, "token").select("token", fold(F.col("token")).alias("t_")).where(F.length("t_") >= LEAST_BLOCK)
+    c = catalog.repartition(n, "complete_text").select("complete_text", "ord", fold(F.col("complete_text")).alias("c_")).where(F.length("c_") >= LEAST_BLOCK)
     need = F.greatest(F.lit(LEAST_BLOCK), F.ceil(F.length("t_") * TOKEN_SHARE).cast("int"))
     t = t.withColumn("need_", need).withColumn("i_", F.explode(F.sequence(F.lit(1), F.length("t_") - F.col("need_") + 1)))
     t = t.withColumn("n_", F.explode(F.sequence(F.col("need_"), F.length("t_") - F.col("i_") + 1)))
@@ -28,10 +33,12 @@ def partial_matches(tokens: DataFrame, catalog: DataFrame) -> DataFrame:
     c = c.withColumn("i_", F.explode(F.sequence(F.lit(1), F.length("c_") - LEAST_BLOCK + 1)))
     c = c.withColumn("n_", F.explode(F.sequence(F.lit(LEAST_BLOCK), F.length("c_") - F.col("i_") + 1)))
     c = c.groupBy("complete_text", "ord", F.length("c_").alias("size_"), F.col("c_").substr(F.col("i_"), F.col("n_")).alias("s_")).agg(F.min("i_").alias("start_"))
-    best = F.max_by(F.struct("n_", "start_"), F.struct(F.col("n_"), -F.col("end_"), -F.col("start_")))
-    block = t.join(c, "s_").groupBy("token", "complete_text", "ord", "size_").agg(best.alias("b_"))
-    share = F.col("b_.n_") / F.col("size_")
-    ok = share >= F.when(F.col("b_.start_") == 1, START_SHARE).otherwise(INNER_SHARE)
+    # Length, end and start in one number of 21 bits each, so the largest is found by hash aggregation.
+    packed = F.shiftleft(F.col("n_").cast("bigint"), 42) + F.shiftleft(LONGEST - F.col("end_").cast("bigint"), 21) + (LONGEST - F.col("start_"))
+    block = t.join(c, "s_").groupBy("token", "complete_text", "ord", "size_").agg(F.max(packed).alias("b_"))
+    share = F.shiftright("b_", 42) / F.col("size_")
+    at_start = F.col("b_").bitwiseAND(LONGEST) == LONGEST - 1
+    ok = share >= F.when(at_start, START_SHARE).otherwise(INNER_SHARE)
     first = F.max_by(F.struct(F.col("complete_text").alias("mapped"), share.alias("confidence")), F.struct(share, -F.col("ord")))
     return block.where(ok).groupBy("token").agg(first.alias("m_")).select("token", "m_.mapped", "m_.confidence")
 
@@ -53,6 +60,7 @@ def associated(words: DataFrame, catalog: DataFrame) -> DataFrame:
     looked = tokens.withColumn("key_", fold(F.col("token"))).join(approved.select("key_", "exact_"), "key_", "left").join(listed, "key_", "left").join(partial, "token", "left")
     exact = F.col("exact_").isNotNull() & (F.length("token") >= LEAST_BLOCK) & plausible(F.col("token"))
     looked = looked.select("token", F.when(exact, "complete").when(F.col("mapped").isNotNull(), "partial").alias("text_kind"), F.when(exact, F.col("exact_")).otherwise(F.col("mapped")).alias("mapped_complete_text"), F.when(exact, F.lit(1.0)).otherwise(F.col("confidence")).alias("mapping_confidence"), "listed_")
+    looked = kept(looked)  # a row for each distinct token, used below filters of any kind
     out = words.join(looked, words["raw_text"] == looked["token"], "left")
     reason = F.when(blank, "unk_or_empty").when(F.col("text_kind").isNotNull(), None).when(F.col("listed_"), "unapproved").otherwise("no_match")
     return out.withColumn("reason", reason).drop("token", "listed_")

@@ -327,11 +327,13 @@ def timeline_partial(spark, read):
     return _timeline(read).where("text_kind = 'partial'").drop("text_kind")
 
 
-@query(f"WITH {_TOKENS}, {_CATALOG}, x AS (SELECT complete_text AS text FROM cat WHERE approved) SELECT arg_min(text, text) AS text FROM x GROUP BY {_KEY.format('text')}")
+@query(f"""WITH {_TOKENS}, {_CATALOG}, x AS (SELECT DISTINCT token AS text, 0 AS r FROM tok WHERE i = 1 UNION ALL SELECT DISTINCT p_name, 1 FROM part UNION ALL SELECT complete_text, 2 FROM cat WHERE approved)
+SELECT arg_min(text, (r, text)) AS text FROM x GROUP BY {_KEY.format('text')}""")
 def suggestion_set(spark, read):
-    c = _catalog(read)
-    none = c.limit(0).select(F.col("complete_text").alias("mapped_complete_text"))
-    return catalog.suggestions(none, none, c).select("text")
+    """The first word of each turn stands for a complete row, a part's name for a partial one."""
+    complete = _tokens(read).where("i = 1").select(F.col("token").alias("mapped_complete_text")).distinct()
+    partial = read("part").select(F.col("p_name").alias("mapped_complete_text")).distinct()
+    return catalog.suggestions(complete, partial, _catalog(read)).select("text")
 
 
 @query(f"""WITH {_CATALOG} SELECT complete_text AS text FROM cat WHERE contains(lower(complete_text), 'th') ORDER BY CASE WHEN starts_with(lower(complete_text), 'th') THEN 0 ELSE 1 END, lower(complete_text), complete_text LIMIT 20""")

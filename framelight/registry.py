@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from framelight.plans import detail_queries  # noqa: F401  registers its queries
 from framelight.plans.queries import ORACLE_SQL, QUERIES
 
 FLAGSHIP = "timeline_complete"
