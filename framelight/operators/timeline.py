@@ -55,7 +55,7 @@ def associated(words: DataFrame, catalog: DataFrame) -> DataFrame:
     listed = texts.select("key_").distinct().withColumn("listed_", F.lit(True))
     raw = F.col("raw_text")
     blank = raw.isNull() | (F.trim(raw) == "") | (raw == UNKNOWN_TOKEN)
-    tokens = words.where(~blank).select(raw.alias("token")).distinct()
+    tokens = kept(words.where(~blank).select(raw.alias("token")).distinct())
     partial = partial_matches(tokens, approved.select(F.col("exact_").alias("complete_text"), "ord"))
     looked = tokens.withColumn("key_", fold(F.col("token"))).join(approved.select("key_", "exact_"), "key_", "left").join(listed, "key_", "left").join(partial, "token", "left")
     exact = F.col("exact_").isNotNull() & (F.length("token") >= LEAST_BLOCK) & plausible(F.col("token"))
