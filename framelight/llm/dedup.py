@@ -178,15 +178,15 @@ def _rest(members: DataFrame, marks: DataFrame, sets: DataFrame, components: Dat
     has texts: a pair whose components a link before it has joined needs no look. Buckets of many texts, or of
     long ones, meet block by block, so no task holds one whole.
     """
-    known = members.join(marks.select("doc_id", "n_shingles"), "doc_id").join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    known = members.join(marks.select("doc_id", "n_shingles", "set1", "set2"), "doc_id").join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     known = cut(known)
     mixed = known.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("degree"), F.sum("n_shingles").alias("load")).where("low <> high")
     mixed = mixed.withColumn("blocks", F.ceil(F.greatest(F.col("degree") / BLOCK, F.col("load") / SHINGLES_PER_BLOCK)).cast("int"))
     rows = join_skewed(known, mixed.select("key", "blocks", "degree"), "key", known.count())
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", "doc_id", "component", "own", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"))
-    met = dealt.join(marks.select("doc_id", "minima", "set1", "set2"), "doc_id").join(sets, ["set1", "set2"])
+    dealt = dealt.select("key", "doc_id", "set1", "set2", "component", "own", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"))
+    met = dealt.join(marks.select("set1", "set2", "minima"), ["set1", "set2"]).join(sets, ["set1", "set2"])
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("doc_id", kind="stable")
@@ -228,7 +228,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     usable = marked.where("doc_id is not null and n_shingles > 0")
     same = [F.any_value(c).alias(c) for c in ("n_shingles", "keys", "minima")]
     classes = usable.groupBy("set1", "set2").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"), *same)
-    classes = cut(classes.withColumn("class", F.monotonically_increasing_id()))  # being written fixes these numbers
+    # A class goes by its least doc_id, so a bucket's middle is its oldest text; one whose least doc_id has several
+    # texts goes by a number beyond all of them, which is fixed by being written.
+    names = F.struct("set1", "set2")
+    several = cut(usable.groupBy("doc_id").agg(F.min(names).alias("one"), F.max(names).alias("two")).where("one <> two").select("doc_id"))
+    beyond = marked.agg(F.coalesce(F.max("doc_id"), F.lit(0))).first()[0] + 1
+    number = F.when(F.col("many"), F.lit(beyond) + F.monotonically_increasing_id()).otherwise(F.col("first"))
+    classes = cut(classes.join(several.select(F.col("doc_id").alias("first"), F.lit(True).alias("many")), "first", "left").withColumn("class", number).drop("many"))
     # From here on doc_id is the number of a class.
     spread = classes.select(F.explode("keys").alias("key"), F.col("class").alias("doc_id"))
     buckets = cut(spread.groupBy("key").agg(F.min("doc_id").alias("center"), F.count("*").alias("degree")).where("degree > 1"))
@@ -249,9 +255,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     sets = cut(texts.mapInArrow(sets_of, "set1 long, set2 long, shingles binary"))
 
     found = cut(_confirmed(cut(_plausible(edges, marks.select("doc_id", "minima"))), marks, sets, percent))
-    names = F.struct("set1", "set2")
-    lone = usable.groupBy("doc_id").agg(F.min(names).alias("one"), F.max(names).alias("two")).where("one <> two").select("doc_id")
-    tied = usable.join(lone, "doc_id").select("doc_id", "set1", "set2").join(classes.select("set1", "set2", "class"), ["set1", "set2"])
+    tied = usable.join(several, "doc_id").select("doc_id", "set1", "set2").join(classes.select("set1", "set2", "class"), ["set1", "set2"])
     tied = tied.groupBy("doc_id").agg(F.min("class").alias("u"), F.collect_set("class").alias("all")).select("u", F.explode("all").alias("v"))
     components = cut(connected_components(found.select(F.col("center").alias("u"), F.col("doc_id").alias("v")).unionByName(tied)))
     rest = cut(_rest(members.select("key", "doc_id").distinct(), marks, sets, components, percent))
