@@ -23,6 +23,8 @@ LEAST_AGREEING = 0.62
 SETS_PER_TASK, BLOCK = 64, 2_000
 #: Shingles of a block's texts, about: 8 MB. Texts whose sets a worker makes at once.
 SHINGLES_PER_BLOCK, SLICE = 1_000_000, 500
+#: Bits of the bitmap that tells texts to be compared from others before they are shuffled.
+SLOTS_PER_ID, MOST_SLOTS = 16, 1 << 26
 
 _random = np.random.default_rng(20240229)
 _FACTORS = _random.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -171,12 +173,40 @@ def _confirmed(edges: DataFrame, marks: DataFrame, sets: DataFrame, percent: int
     return met.groupBy("center", "part").applyInPandas(check, "center long, doc_id long")
 
 
+def _likely_partners(a: int, right: np.ndarray, ordered: bool, label: np.ndarray, size: np.ndarray, low: np.ndarray, percent: int) -> np.ndarray:
+    """Those of `right` in another component than `a` whose size and minima allow a link, most alike first."""
+    near = right[(label[right] != label[a]) & (100 * np.minimum(size[right], size[a]) >= percent * np.maximum(size[right], size[a]))]
+    if ordered:
+        near = near[near > a]
+    agreeing = _agreeing(low[near], low[a])
+    likely = np.flatnonzero(agreeing >= LEAST_AGREEING * HASHES)
+    return near[likely[np.argsort(-agreeing[likely], kind="stable")]]
+
+
+def _with_partners(percent: int):
+    """The rows of two blocks that have a likely partner; they lose n_shingles and minima."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        own, label = pdf["own"].to_numpy(), np.unique(pdf["component"], return_inverse=True)[1]
+        one, two = pdf["one"].iloc[0], pdf["two"].iloc[0]
+        size, low = pdf["n_shingles"].to_numpy(), _minima_of(pdf["minima"])
+        right, wanted = np.flatnonzero(own == two), np.zeros(len(pdf), bool)
+        for a in np.flatnonzero(own == one):
+            partners = _likely_partners(a, right, one == two, label, size, low, percent)
+            wanted[partners] = True
+            wanted[a] |= len(partners) > 0
+        return pdf.loc[wanted, ["key", "doc_id", "set1", "set2", "component", "own", "one", "two"]]
+
+    return run
+
+
 def _rest(members: DataFrame, marks: DataFrame, sets: DataFrame, components: DataFrame, percent: int) -> DataFrame:
     """(center, doc_id) links between bucket partners that are in different components still.
 
-    Signatures pick the pairs and full sets confirm them where they meet, so only links leave a task, fewer than it
-    has texts: a pair whose components a link before it has joined needs no look. Buckets of many texts, or of
-    long ones, meet block by block, so no task holds one whole.
+    Signatures meet first, and a text goes on if it has a likely partner in another component, so full sets travel
+    for these alone. They pick and confirm the pairs where they meet, so only links leave a task, fewer than it has
+    texts: a pair whose components a link before it has joined needs no look. Buckets of many texts, or of long
+    ones, meet block by block, so no task holds one whole.
     """
     known = members.join(marks.select("doc_id", "n_shingles", "set1", "set2"), "doc_id").join(components.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     known = cut(known)
@@ -186,7 +216,9 @@ def _rest(members: DataFrame, marks: DataFrame, sets: DataFrame, components: Dat
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("key", "doc_id", "set1", "set2", "component", "own", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"))
-    met = dealt.join(marks.select("set1", "set2", "minima"), ["set1", "set2"]).join(sets, ["set1", "set2"])
+    signed = dealt.join(marks.select("doc_id", "n_shingles", "minima"), "doc_id")
+    likely = signed.groupBy("key", "one", "two").applyInPandas(_with_partners(percent), dealt.schema)
+    met = cut(likely).join(marks.select("doc_id", "minima"), "doc_id").join(sets, ["set1", "set2"])
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("doc_id", kind="stable")
@@ -197,12 +229,7 @@ def _rest(members: DataFrame, marks: DataFrame, sets: DataFrame, components: Dat
         size, low = np.array([len(x) for x in texts]), _minima_of(pdf["minima"])
         right, found = np.flatnonzero(own == two), []
         for a in np.flatnonzero(own == one):
-            near = right[(label[right] != label[a]) & (100 * np.minimum(size[right], size[a]) >= percent * np.maximum(size[right], size[a]))]
-            if one == two:
-                near = near[near > a]
-            agreeing = _agreeing(low[near], low[a])
-            likely = np.flatnonzero(agreeing >= LEAST_AGREEING * HASHES)
-            for b in near[likely[np.argsort(-agreeing[likely], kind="stable")]]:
+            for b in _likely_partners(a, right, one == two, label, size, low, percent):
                 if label[a] != label[b] and _similar(texts[a], texts[b], percent):
                     found.append((min(ids[a], ids[b]), max(ids[a], ids[b])))
                     label[label == label[b]] = label[a]
@@ -211,6 +238,22 @@ def _rest(members: DataFrame, marks: DataFrame, sets: DataFrame, components: Dat
     return met.groupBy("key", "one", "two").applyInPandas(compare, "center long, doc_id long").distinct()
 
 
+def _perhaps_among(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """The rows of docs whose doc_id has its hash in a bitmap of the n `ids`: all that are among them, and few others.
+
+    The bitmap has SLOTS_PER_ID bits for each id and MOST_SLOTS in all (8 MB), so it may be broadcast at any size of
+    input. Where it is too full to tell rows apart they all go on, and the join after it decides.
+    """
+    slots = min(MOST_SLOTS, max(1 << 15, 1 << (SLOTS_PER_ID * n).bit_length()))
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(slots)) + 1
+    bits = ids.select(F.bitmap_bucket_number(slot).alias("bucket_"), F.bitmap_bit_position(slot).alias("bit_")).repartition("bucket_")
+    bits = bits.groupBy("bucket_").agg(F.bitmap_construct_agg("bit_").alias("bits_"))
+    at = F.bitmap_bit_position(slot).cast("int")
+    byte = F.conv(F.hex(F.substring("bits_", F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.lit(1) == F.call_function("getbit", byte, F.pmod(at, F.lit(8)))
+    return docs.join(F.broadcast(bits), (F.bitmap_bucket_number(slot) == F.col("bucket_")) & is_set, "left_semi")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of docs (doc_id, text); other columns are not read.
 
@@ -251,7 +294,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
             names = np.array([_name(x) for x in got], np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(names[:, 0]), pa.array(names[:, 1]), pa.array([x.tobytes() for x in got], pa.binary())], names=["set1", "set2", "shingles"])
 
-    texts = docs.join(marks.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    wanted = marks.select(F.col("first").alias("doc_id")).distinct()
+    texts = _perhaps_among(docs, wanted, marks.count()).join(wanted, "doc_id", "left_semi")
     sets = cut(texts.mapInArrow(sets_of, "set1 long, set2 long, shingles binary"))
 
     found = cut(_confirmed(cut(_plausible(edges, marks.select("doc_id", "minima"))), marks, sets, percent))
