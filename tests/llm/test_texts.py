@@ -219,3 +219,16 @@ def test_recall_of_the_bands_at_the_threshold():
         other = np.concatenate([own[:both], r.integers(0, 2**63, 400 - both, dtype=np.uint64)])
         hits += bool((dedup.band_keys(dedup.minima(np.unique(own))) == dedup.band_keys(dedup.minima(np.unique(other)))).any())
     assert hits == n
+
+
+def test_bitmap_keeps_all_that_are_among_the_ids(spark):
+    from framelight.llm.dedup import _perhaps_among
+
+    rows = spark.range(20_000).selectExpr("id - 50 as doc_id", "'t' as text").unionByName(spark.sql("select cast(null as bigint) as doc_id, 'n' as text"))
+    ids = spark.range(1_000).selectExpr("id * 11 as doc_id")
+    near = _perhaps_among(rows, ids, 1_000)
+    assert near.join(ids, "doc_id", "left_semi").count() == rows.join(ids, "doc_id", "left_semi").count() == 1_000
+    assert near.count() < 3_000
+    # A bitmap that is far too full lets all rows on, and loses none.
+    assert _perhaps_among(rows, ids, 0).join(ids, "doc_id", "left_semi").count() == 1_000
+    assert _perhaps_among(rows, ids.limit(0), 0).count() == 0
