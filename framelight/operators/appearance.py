@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framelight.functions.colors import PALETTE, TOLERANCE
@@ -14,12 +14,23 @@ def frame_status(count: Column, confidence: Column, least: float = 0.5) -> Colum
     return F.when(count <= 0, "no_person").when(confidence < least, "low_conf").otherwise("ok")
 
 
-def scene_rollup(frames: DataFrame) -> DataFrame:
-    """scene_id, person_count (mode, the smallest of equals), confidence over frames with persons, variance, status."""
-    counted = frames.groupBy("scene_id", "person_count").agg(F.count("*").alias("n_"))
-    mode = counted.groupBy("scene_id").agg(F.max_by("person_count", F.struct("n_", -F.col("person_count"))).alias("person_count"), (F.count("*") > 1).alias("count_variance"))
-    mean = frames.groupBy("scene_id").agg(F.avg(F.when(F.col("person_count") > 0, F.col("confidence"))).alias("confidence"), F.count("*").alias("n_frames"))
-    both = mode.join(mean, "scene_id")
+def scene_rollup(frames: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """scene_id, person_count (mode, the smallest of equals), confidence over frames with persons, variance, status.
+
+    A mean at the bound of a status depends on the order in which its frames are summed: with `order` they are summed in
+    that order, however the frames are dealt out.
+    """
+    sure = F.when(F.col("person_count") > 0, F.col("confidence"))
+    own = frames.where("scene_id is not null")
+    if order:
+        whole = Window.partitionBy("scene_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        own = own.withColumn("confidence", F.avg(sure).over(whole))
+        mean = F.first("mean_")
+    else:
+        mean = F.sum("sum_") / F.nullif(F.sum("sure_"), F.lit(0))
+    counted = own.groupBy("scene_id", "person_count").agg(F.count("*").alias("n_"), F.first("confidence").alias("mean_"), F.sum(sure).alias("sum_"), F.count(sure).alias("sure_"))
+    mode = F.max_by("person_count", F.struct("n_", -F.col("person_count")))
+    both = counted.groupBy("scene_id").agg(mode.alias("person_count"), (F.count("*") > 1).alias("count_variance"), mean.alias("confidence"), F.sum("n_").alias("n_frames"))
     return both.withColumn("status", frame_status(F.col("person_count"), F.coalesce("confidence", F.lit(0.0))))
 
 

@@ -555,7 +555,7 @@ def appearance_summary(spark, read):
 
 
 def _persons(read) -> DataFrame:
-    return read("lineitem").select(F.col("l_orderkey").alias("scene_id"), (F.col("l_suppkey") % 3).alias("person_count"), (1 - F.col("l_discount") * 6).alias("confidence"))
+    return read("lineitem").select(F.col("l_orderkey").alias("scene_id"), (F.col("l_suppkey") % 3).alias("person_count"), (1 - F.col("l_discount") * 6).alias("confidence"), F.col("_metadata.file_path").alias("file_"), F.col("_metadata.row_index").alias("row_"))
 
 
 @query("""
@@ -565,7 +565,7 @@ m AS (SELECT scene_id, pc AS person_count, (count(*) OVER (PARTITION BY scene_id
 a AS (SELECT scene_id, avg(conf) FILTER (pc > 0) AS confidence, count(*)::BIGINT AS n_frames FROM f GROUP BY 1)
 SELECT scene_id, person_count, count_variance, round(confidence, 6) AS confidence, n_frames, CASE WHEN person_count <= 0 THEN 'no_person' WHEN coalesce(confidence, 0) < 0.5 THEN 'low_conf' ELSE 'ok' END AS status FROM m JOIN a USING (scene_id)""")
 def scene_rollup(spark, read):
-    return appearance.scene_rollup(_persons(read)).withColumn("confidence", six("confidence"))
+    return appearance.scene_rollup(_persons(read), ["file_", "row_"]).withColumn("confidence", six("confidence"))
 
 
 @query("""
