@@ -5,7 +5,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-from framelight.operators import ensemble, graph
+from framelight.operators import boxes, ensemble, graph
 from framelight.plans import queries
 
 
@@ -76,3 +76,28 @@ def test_eps_by_blocks(spark, metric):
     for block in (3, 16, 1000):
         got = {r.video: r.eps for r in ensemble.suggested_eps(spark.createDataFrame(rows, "video int, vec array<double>"), ["video"], 5, metric, block).collect()}
         assert got == pytest.approx({0: ensemble.elbow_eps(x, metric=metric), 1: 0.5, 2: ensemble.elbow_eps(x[:2], metric=metric)})
+
+
+def test_suppression_of_many_frames(spark, monkeypatch):
+    """Frames of one, some and many boxes, more than a batch holds, and null keys; no group goes to a kernel of its own."""
+    r = np.random.default_rng(4)
+    frames = [*np.repeat(range(400), 5).tolist(), *[400] * 150, *[None] * 7, 401]
+    rows = []
+    for det, k in enumerate(frames):
+        a, b = (int(v) for v in r.integers(0, 40, 2))
+        rows.append((k, det % 90, [a, b, a + int(r.integers(1, 40)), b + 20], None if det % 50 == 0 else float(r.integers(0, 9))))
+    want = []
+    for k in set(frames):
+        kept = []
+        for row in sorted((x for x in rows if x[0] == k), key=lambda x: (x[3] is None, -(x[3] or 0), x[1], x[2])):
+            if all(boxes.overlap(row[2], other[2]) <= 0.3 for other in kept):
+                kept.append(row)
+        want += kept
+    monkeypatch.setattr(boxes, "TOGETHER", 30)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        out = boxes.suppressed(spark.createDataFrame(rows, "k int, det int, bbox array<int>, score double"), ["k"], "score", 0.3)
+        assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().executedPlan().toString()
