@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,42 +139,45 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
     grams = counted.select("lang", padded.alias("p"), F.log1p(F.col("n") - 1).alias("w"), F.explode(F.sequence(F.lit(1), F.lit(LONGEST_GRAM))).alias("size"))
     grams = grams.where(F.length("p") >= F.col("size")).select("lang", "w", F.explode(F.transform(F.sequence(F.lit(1), F.length("p") - F.col("size") + 1), lambda i: F.col("p").substr(i, F.col("size")))).alias("gram"))
     grams = grams.groupBy("gram", "lang").agg(F.sum(F.col("w") + 1).alias("w"))
-    grams = grams.groupBy("gram").agg(F.collect_list(F.struct("lang", "w")).alias("by"), F.sum("w").alias("total")).where(F.col("total") >= LEAST_WEIGHT)
+    heavy = grams.groupBy("gram").agg(F.collect_list(F.struct("lang", "w")).alias("by"), F.sum("w").alias("total")).where(F.col("total") >= LEAST_WEIGHT)
     languages = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
-    often = counted.where("n > 1").collect()
-    model = build(languages, [(r["word"], r["lang"], float(r["n"])) for r in often], [(r["gram"], x["lang"], x["w"]) for r in grams.select("gram", "by").collect() for x in r["by"]])
+    # As Arrow tables: rows as Python objects take many times their size of the driver's memory.
+    words_, grams_ = counted.where("n > 1").select("word", "lang", F.col("n").cast("double")).toArrow(), heavy.select("gram", F.explode("by").alias("x")).select("gram", "x.lang", "x.w").toArrow()
+    model = build(languages, words_, grams_)
     uncut(counted)
     return model
 
 
-def _rows(entries: list[tuple[str, str, float]], languages: list[str]) -> dict[str, np.ndarray]:
-    out: dict[str, np.ndarray] = {}
-    place = {lang: j for j, lang in enumerate(languages)}
-    for key, lang, n in sorted(entries):
-        if key not in out:
-            out[key] = np.zeros(len(languages))
-        out[key][place[lang]] += n
-    return out
+def _rows(entries: pa.Table, languages: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The distinct first column in order, and a row for each with the third column by language."""
+    coded = pa.concat_arrays(entries.column(0).chunks).dictionary_encode() if len(entries) else pa.array([], pa.string()).dictionary_encode()
+    order = pc.sort_indices(coded.dictionary).to_numpy()
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    out = np.zeros((len(order), len(languages)))
+    if len(entries):
+        np.add.at(out, (place[coded.indices.to_numpy()], pc.index_in(entries.column(1), value_set=pa.array(languages, entries.schema.types[1])).to_numpy()), entries.column(2).to_numpy())
+    return coded.dictionary.take(pa.array(order)), out
 
 
-def build(languages: list[str], words: list[tuple[str, str, float]], grams: list[tuple[str, str, float]]) -> LanguageModel:
+def build(languages: list[str], words: pa.Table, grams: pa.Table) -> LanguageModel:
     """The model of (word, language, count) and (n-gram, language, weight); an n-gram weighs for each distinct word
     that holds it, 1 + log of the word's count."""
     k = len(languages)
-    counts, weights = _rows(words, languages), _rows(grams, languages)
-    seen = np.sum(list(counts.values()), axis=0) + 1 if counts else np.ones(k)
-    table = [np.log((v + 0.01) / seen) for v in counts.values()]
-    codes, rows = [], []
+    (names, counts), (keys, weights) = _rows(words, languages), _rows(grams, languages)
+    table = [np.log((counts + 0.01) / (counts.sum(0) + 1))]
+    codes, rows, n = [], [], len(counts)
+    lengths = pc.utf8_length(keys).to_numpy()
     for size in range(1, LONGEST_GRAM + 1):
-        own = {g: v for g, v in weights.items() if len(g) == size}
-        total = np.sum(list(own.values()), axis=0) + 50 if own else np.ones(k)
-        points = np.frombuffer("".join(own).encode("utf-32-le", "surrogatepass"), "<u4")
-        code = gram_codes(points, size)[::size] if own else np.empty(0, np.uint64)
+        own = np.flatnonzero(lengths == size)
+        points = np.frombuffer("".join(keys.take(pa.array(own)).to_pylist()).encode("utf-32-le"), "<u4")
+        code = gram_codes(points, size)[::size] if len(own) else np.empty(0, np.uint64)
         order = np.argsort(code, kind="stable")
         codes.append(code[order])
-        rows.append(len(table) + order)
-        table += [np.log((v + 0.5) / total) for v in own.values()]
-    return LanguageModel(languages, {w: i for i, w in enumerate(counts)}, codes, rows, np.array(table).reshape(len(table), k))
+        rows.append(n + order)
+        table.append(np.log((weights[own] + 0.5) / (weights[own].sum(0) + 50)))
+        n += len(own)
+    return LanguageModel(languages, dict(zip(names.to_pylist(), range(len(names)))), codes, rows, np.concatenate(table).reshape(n, k))
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:

@@ -5,6 +5,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
+from framelight.llm import language
 from framelight.operators import boxes, ensemble, graph
 from framelight.plans import queries
 
@@ -101,3 +102,12 @@ def test_suppression_of_many_frames(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_language_fit_collects_no_vocabulary_as_rows(spark, monkeypatch):
+    """Words and n-grams come to the driver as Arrow tables; only the languages come as rows."""
+    docs = spark.createDataFrame([(i, " ".join(f"word{chr(97 + j)}{chr(97 + i)}" for j in range(26)) * 2, "en" if i % 2 else "de") for i in range(20)], "doc_id long, text string, lang string")
+    seen, collect = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda self: seen.append(out := collect(self)) or out)
+    model = language.fit(docs)
+    assert model.languages == ["de", "en"] and len(model.words) > 100 and max(map(len, seen)) <= 2
