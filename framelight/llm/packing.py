@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import functools
+import itertools
+import re
 import unicodedata
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,10 +30,19 @@ PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.
 PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
-#: Words whose ids a worker remembers, twice over; it keeps them from task to task.
-REMEMBERED = 120_000
+#: Parts of words whose ids a worker remembers, twice over; it keeps them from task to task.
+REMEMBERED = 180_000
 #: Signs that end words: they are tokenized apart from the letter or digit before them.
 TAIL = ".,;:!?*&#%$|"
+#: Characters of texts that are looked up at once.
+TOGETHER = 4_000_000
+#: The tokenizer's own pieces in lower-case Latin-1.
+LETTERS, DIGITS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\t-\r \x85\xa0{LETTERS}{DIGITS}]+")
+PLAIN, LOWER = re.compile(f"[{LETTERS}]+"), re.compile("[^A-Z\xc0-\xd6\xd8-\xde\u0100-\U0010ffff]+")
+#: A byte's sign in a byte-level vocabulary: itself where it can be seen, else the next from U+0100 on.
+SEEN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_SIGNS = dict(zip(sorted(set(range(256)) - set(SEEN)), range(0x100, 0x200)))
 
 
 @functools.lru_cache(4096)
@@ -38,40 +51,61 @@ def _stays_a_letter(sign: str) -> bool:
     return sign.isalpha() and unicodedata.normalize("NFC", sign).lower().isalpha()
 
 
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class WordTokenizer:
     """A text's ids as little-endian unsigned 32-bit numbers, without the closing 0, put together word by word.
 
     The tokenizer drops white space and splits letters, digits and signs apart, so what stands between spaces,
-    tabs and line ends is tokenized by itself, and a word apart from the signs at its end if it ends in a letter that
-    gains no mark (a mark belongs to the signs after it). It lower-cases, so texts are lower-cased before the look-up, where both agree for certain: in Latin-1 without the mark of
-    special tokens.
+    tabs and line ends is tokenized by itself. A word in lower-case Latin-1 is put together from its pieces, and
+    pieces of letters go to the merges at once; of others the signs at the end are tokenized apart if the word ends in
+    a letter that gains no mark (a mark belongs to the signs after it). The tokenizer lower-cases, so texts are
+    lower-cased before the look-up, where both agree for certain: in Latin-1 without the mark of special tokens.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model.tokenize
         self.parts = WordCache(self._ids, REMEMBERED)
-        self.words = WordCache(self._word, REMEMBERED // 2)
 
     def _ids(self, part: str) -> bytes:
+        if PLAIN.fullmatch(part):
+            plain = part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_SIGNS)
+            return array("I", [t.id for t in self.merges(plain)]).tobytes()
         return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
+        if PLAIN.fullmatch(word):
+            return self.parts[word]
+        if LOWER.fullmatch(word) and "<|" not in word:
+            return b"".join([self.parts[x] for x in PIECE.findall(word)])
         core = word.rstrip(TAIL)
         if core and core != word and _stays_a_letter(core[-1]):
             return self.parts[core] + self.parts[word[len(core) :]]
         return self.parts[word]
 
     def __call__(self, text: str) -> bytes:
-        if "<|" not in text:
-            try:
-                text.encode("latin-1")
-                text = text.lower()
-            except UnicodeEncodeError:
-                pass
-        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        return b"".join(map(self.words.__getitem__, words))
+        return self.many([text])[0]
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; a word that several hold is looked up once."""
+        texts = [x.lower() if "<|" not in x and _latin(x) else x for x in texts]
+        spaced = [x.replace("\n", " ").replace("\t", " ").replace("\r", " ") for x in texts]
+        split = pc.split_pattern(pa.array(spaced, pa.large_string()), " ")
+        found = split.flatten().dictionary_encode()
+        ids = pa.array(list(map(self._word, found.dictionary.to_numpy(False))), pa.large_binary()).take(found.indices)
+        _, ends, data = ids.buffers()
+        ends = np.frombuffer(ends, np.int64, len(ids) + 1)[split.offsets.to_numpy()].tolist()
+        data = memoryview(data) if data else b""
+        return [bytes(data[a:b]) for a, b in itertools.pairwise(ends)]
 
 
 @functools.cache
@@ -79,6 +113,20 @@ def word_tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
+def _together(texts: pa.Array) -> Iterator[list[str]]:
+    """The texts, some at once: TOGETHER characters, or one longer text."""
+    some, size = [], 0
+    for text in texts:
+        text = text.as_py() or ""
+        if some and size + len(text) > TOGETHER:
+            yield some
+            some, size = [], 0
+        some.append(text)
+        size += len(text)
+    if some:
+        yield some
+
+
 def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every row of docs (doc_id, text); null text counts as empty."""
 
@@ -86,8 +134,9 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) ->
         tokenizer = word_tokenizer(tokenizer_path)
         for batch in batches:
             rows: list[list] = [[], [], [], [], []]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = tokenizer(text.as_py() or "") + b"\0\0\0\0"
+            found = itertools.chain.from_iterable(map(tokenizer.many, _together(batch.column(1))))
+            for doc, ids in zip(batch.column(0).to_pylist(), found, strict=True):
+                ids += b"\0\0\0\0"
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     for column, value in zip(rows, (doc, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):

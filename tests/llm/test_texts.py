@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer, models, pre_tokenizers
 
@@ -177,6 +178,26 @@ def test_packing_ids_after_every_letter():
             assert own(x) == np.array(e.ids, "<u4").tobytes(), x
 
 
+def test_packing_ids_of_latin_words_need_few_calls(monkeypatch):
+    """Every sign of Latin-1 beside letters, digits and signs as the tokenizer splits it; words of letters are no calls of it."""
+    path = P.path("word_bpe_49k.json")
+    own, t = packing.WordTokenizer(path), Tokenizer.from_file(path)
+    texts = [f"{a}{chr(c)}{b}" for c in range(256) for a in ("", "x", "\xe9", "7", ".", "'", "<") for b in ("", "s", "\xdf", "\xb2", "!", "'re", "|")]
+    texts += ["don't we'LL go's \xc9t\xc9, \xb5\xaa\xba", "a<|b", "<|endoftext|>c", "", "x" * 3000, "e\u0301 \xe9 \u212a K", "\x1c \x1f"]
+    monkeypatch.setattr(packing, "TOGETHER", 5_000)
+    got = [x for some in packing._together(pa.array(texts)) for x in own.many(some)]
+    for x, ids, e in zip(texts, got, t.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert ids == own(x) == np.array(e.ids, "<u4").tobytes(), repr(x)
+    text = " ".join(f"wo{chr(97 + i % 26)}r{chr(223 + i // 26)}d{end}" for i in range(500) for end in ("", ".", ",555-1234"))
+    fresh, calls = packing.WordTokenizer(path), []
+
+    class Counted:
+        encode = staticmethod(lambda part, **k: calls.append(part) or t.encode(part, **k))
+
+    fresh.tokenizer = Counted
+    assert fresh(text) == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes() and len(calls) <= 10
+
+
 def test_packing_program_places_most_pieces(spark):
     path = P.path("word_bpe_49k.json")
     lengths = [r.length for r in packing.pieces_of(spark.read.parquet(f"{SF}/documents.parquet"), path).collect()]
